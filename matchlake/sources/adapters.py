@@ -7,7 +7,7 @@ integers, so the same rules can be stated in any SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE_COLUMNS = [
@@ -15,55 +15,59 @@ LINE_COLUMNS = [
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
 
-
-def _balls() -> Column:
-    return F.sequence(F.lit(1), F.lit(6))
+# Declared, so that planning a query opens no file footers.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, in the column order of the silver match table, plus two helper keys."""
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation")
-    home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("n_name").alias("team1"))
-    away = nation.select(F.col("n_nationkey").alias("away_key"), F.col("n_name").alias("team2"))
-    key = F.col("o_orderkey")
-    joined = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(home, F.col("c_nationkey") == F.col("home_key"))
-        .join(away, (F.col("c_nationkey") + 1 + key % 24) % 25 == F.col("away_key"))
-    )
-    status = F.col("o_orderstatus")
-    winner = F.when(status == "F", F.col("team1")).when(status == "O", F.col("team2"))
-    return joined.select(
-        key.cast("string").alias("match_id"),
-        F.lit(None).cast("string").alias("tournament"),
-        F.lit(None).cast("string").alias("match_number"),
-        F.year("o_orderdate").cast("string").alias("season"),
-        F.col("o_orderdate").cast("date").alias("match_date"),
-        F.col("team1").alias("city"),
-        F.col("o_orderpriority").alias("venue"),
-        F.lit("T20").alias("match_type"),
-        F.lit(None).cast("string").alias("gender"),
-        F.lit(20).alias("scheduled_overs"),
-        F.lit(6).alias("balls_per_over"),
-        F.lit(None).cast("string").alias("team_type"),
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
+    home = nation.selectExpr("n_nationkey AS c_nationkey", "n_name AS team1")
+    away = nation.selectExpr("CAST(n_nationkey AS BIGINT) AS away_key", "n_name AS team2")
+    orders = table(spark, sf_dir, "orders")
+    joined = orders.join(customer, "o_custkey").join(home, "c_nationkey")
+    joined = joined.selectExpr("*", "(c_nationkey + 1 + o_orderkey % 24) % 25 AS away_key").join(away, "away_key")
+    winner = "CASE o_orderstatus WHEN 'F' THEN team1 WHEN 'O' THEN team2 END"
+    return joined.selectExpr(
+        "CAST(o_orderkey AS STRING) AS match_id",
+        "CAST(NULL AS STRING) AS tournament",
+        "CAST(NULL AS STRING) AS match_number",
+        "CAST(year(o_orderdate) AS STRING) AS season",
+        "CAST(o_orderdate AS DATE) AS match_date",
+        "team1 AS city",
+        "o_orderpriority AS venue",
+        "'T20' AS match_type",
+        "CAST(NULL AS STRING) AS gender",
+        "20 AS scheduled_overs",
+        "6 AS balls_per_over",
+        "CAST(NULL AS STRING) AS team_type",
         "team1",
         "team2",
-        F.when(key % 2 == 0, F.col("team1")).otherwise(F.col("team2")).alias("toss_winner"),
-        F.when(key % 3 == 0, "bat").otherwise("field").alias("toss_decision"),
-        winner.alias("winner"),
-        F.when(status == "F", 1 + key % 90).cast("int").alias("win_by_runs"),
-        F.when(status == "O", 1 + key % 10).cast("int").alias("win_by_wickets"),
-        F.when(status == "P", "no result").alias("result"),
-        F.lit(None).cast("string").alias("result_method"),
-        F.lit(None).cast("string").alias("eliminator"),
-        F.concat(winner, F.lit("#1")).alias("player_of_match"),
-        key.alias("match_key"),
+        "IF(o_orderkey % 2 = 0, team1, team2) AS toss_winner",
+        "IF(o_orderkey % 3 = 0, 'bat', 'field') AS toss_decision",
+        f"{winner} AS winner",
+        "CAST(IF(o_orderstatus = 'F', 1 + o_orderkey % 90, NULL) AS INT) AS win_by_runs",
+        "CAST(IF(o_orderstatus = 'O', 1 + o_orderkey % 10, NULL) AS INT) AS win_by_wickets",
+        "IF(o_orderstatus = 'P', 'no result', NULL) AS result",
+        "CAST(NULL AS STRING) AS result_method",
+        "CAST(NULL AS STRING) AS eliminator",
+        f"{winner} || '#1' AS player_of_match",
+        "o_orderkey AS match_key",
         "o_custkey",
     )
 
@@ -71,107 +75,86 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with its match's teams. Joined on the text key that every later
     aggregation groups by, so the join's partitioning is reused."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("match_id"),
-        *LINE_COLUMNS,
-    )
+    lines = table(spark, sf_dir, "lineitem").selectExpr("CAST(l_orderkey AS STRING) AS match_id", "*")
     teams = matches(spark, sf_dir).select("match_id", "season", "team1", "team2")
-    first = F.col("l_linenumber") % 2 == 0
-    return lines.join(teams, "match_id").select(
+    return lines.join(teams, "match_id").selectExpr(
         "match_id",
         "season",
-        (1 + F.col("l_linenumber") % 2).cast("int").alias("innings_number"),
-        F.when(first, F.col("team1")).otherwise(F.col("team2")).alias("batting_team"),
-        F.when(first, F.col("team2")).otherwise(F.col("team1")).alias("bowling_team"),
-        (F.col("l_linenumber") - 1).cast("int").alias("over_number"),
+        "1 + l_linenumber % 2 AS innings_number",
+        "IF(l_linenumber % 2 = 0, team1, team2) AS batting_team",
+        "IF(l_linenumber % 2 = 0, team2, team1) AS bowling_team",
+        "l_linenumber - 1 AS over_number",
         *LINE_COLUMNS,
     )
 
 
-def _player(team: Column, number: Column) -> Column:
-    return F.concat(team, F.lit("#"), number.cast("string"))
-
-
-def _ball_columns(ball: Column) -> dict[str, Column]:
-    extra = (F.col("l_partkey") + ball) % 11 == 0
-    wide = extra & (F.col("l_suppkey") % 2 == 0)
-    batter_runs = ((F.col("l_quantity").cast("int") + ball) % 7).cast("int")
-    extras = F.when(extra, 1).otherwise(0)
-    return {
-        "batter": _player(F.col("batting_team"), 1 + F.col("l_suppkey") % 3),
-        "bowler": _player(F.col("bowling_team"), 5 + F.col("l_partkey") % 5),
-        "non_striker": _player(F.col("batting_team"), F.lit(4)),
-        "batter_runs": batter_runs,
-        "extras": extras,
-        "total_runs": batter_runs + extras,
-        "wides": F.when(wide, 1).otherwise(0),
-        "noballs": F.lit(0),
-        "byes": F.lit(0),
-        "legbyes": extras - F.when(wide, 1).otherwise(0),
-    }
+# What happens on ball {b} of a line.
+BALL = {
+    "batter": "batting_team || '#' || (1 + l_suppkey % 3)",
+    "bowler": "bowling_team || '#' || (5 + l_partkey % 5)",
+    "non_striker": "batting_team || '#4'",
+    "batter_runs": "(CAST(l_quantity AS INT) + {b}) % 7",
+    "extras": "IF((l_partkey + {b}) % 11 = 0, 1, 0)",
+    "total_runs": "(CAST(l_quantity AS INT) + {b}) % 7 + IF((l_partkey + {b}) % 11 = 0, 1, 0)",
+    "wides": "IF((l_partkey + {b}) % 11 = 0 AND l_suppkey % 2 = 0, 1, 0)",
+    "noballs": "0",
+    "byes": "0",
+    "legbyes": "IF((l_partkey + {b}) % 11 = 0 AND l_suppkey % 2 <> 0, 1, 0)",
+}
+WICKET_BALL = "CAST(1 + l_partkey % 6 AS INT)"
+DISMISSAL = (
+    "CASE l_linenumber % 4 WHEN 0 THEN 'run out' WHEN 1 THEN 'bowled' WHEN 2 THEN 'caught' ELSE 'retired hurt' END"
+)
+FIELDER = "bowling_team || '#' || (1 + l_partkey % 4)"
+DELIVERY_ID = "concat_ws('|', " + ", ".join(f"CAST({c} AS STRING)" for c in LINE_COLUMNS) + ", CAST(ball AS STRING))"
 
 
-def _is_wicket(ball: Column) -> Column:
-    return (F.col("l_returnflag") == "R") & (ball == 1 + F.col("l_partkey") % 6)
-
-
-def _dismissal() -> Column:
-    code = F.col("l_linenumber") % 4
-    return (
-        F.when(code == 0, "run out").when(code == 1, "bowled").when(code == 2, "caught").otherwise("retired hurt")
-    )
-
-
-def _delivery_id() -> Column:
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in LINE_COLUMNS], F.col("ball").cast("string"))
+def _ball(name: str, b: str = "ball") -> str:
+    return BALL[name].format(b=b)
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    balls = overs(spark, sf_dir).withColumn("ball", F.explode(_balls()))
-    return balls.select(
-        _delivery_id().alias("delivery_id"),
+    balls = overs(spark, sf_dir).withColumn("ball", F.explode(F.expr("sequence(1, 6)")))
+    return balls.selectExpr(
+        f"{DELIVERY_ID} AS delivery_id",
         "match_id",
         "innings_number",
         "batting_team",
         "bowling_team",
         "over_number",
-        F.col("ball").alias("actual_delivery"),
-        *[c.alias(n) for n, c in _ball_columns(F.col("ball")).items()],
+        "ball AS actual_delivery",
+        *[f"{_ball(n)} AS {n}" for n in BALL],
         "season",
     )
 
 
 def wickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wicket ball of a line is known before the balls are spelled out: no explode needed."""
-    fallen = overs(spark, sf_dir).where(F.col("l_returnflag") == "R")
-    fallen = fallen.withColumn("ball", (1 + F.col("l_partkey") % 6).cast("int"))
-    ball = _ball_columns(F.col("ball"))
-    caught_or_run_out = F.col("l_linenumber") % 2 == 0
-    return fallen.select(
-        F.concat(_delivery_id(), F.lit("|w1")).alias("wicket_id"),
-        _delivery_id().alias("delivery_id"),
+    fallen = overs(spark, sf_dir).where("l_returnflag = 'R'").selectExpr("*", f"{WICKET_BALL} AS ball")
+    return fallen.selectExpr(
+        f"{DELIVERY_ID} || '|w1' AS wicket_id",
+        f"{DELIVERY_ID} AS delivery_id",
         "match_id",
         "innings_number",
         "over_number",
-        F.col("ball").alias("actual_delivery"),
-        ball["batter"].alias("batter"),
-        ball["bowler"].alias("bowler"),
-        ball["batter"].alias("player_out"),
-        _dismissal().alias("dismissal_kind"),
-        F.when(caught_or_run_out, _player(F.col("bowling_team"), 1 + F.col("l_partkey") % 4)).alias("fielder"),
+        "ball AS actual_delivery",
+        f"{_ball('batter')} AS batter",
+        f"{_ball('bowler')} AS bowler",
+        f"{_ball('batter')} AS player_out",
+        f"{DISMISSAL} AS dismissal_kind",
+        f"IF(l_linenumber % 2 = 0, {FIELDER}, NULL) AS fielder",
         "season",
     )
 
 
-def _squad(team: Column, size: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), size), lambda i: _player(team, i))
-
-
 def squads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = (11 + F.col("match_key") % 6).cast("int")
-    both = F.explode(F.array("team1", "team2"))
-    rows = matches(spark, sf_dir).select("match_id", "season", "match_key", both.alias("team_name"))
-    return rows.select("match_id", "season", "team_name", F.explode(_squad(F.col("team_name"), size)).alias("player_name"))
+    sides = matches(spark, sf_dir).selectExpr(
+        "match_id", "season", "match_key", "explode(array(team1, team2)) AS team_name"
+    )
+    numbered = sides.selectExpr(
+        "match_id", "season", "team_name", "explode(sequence(1, CAST(11 + match_key % 6 AS INT))) AS n"
+    )
+    return numbered.selectExpr("match_id", "season", "team_name", "team_name || '#' || n AS player_name")
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,37 +162,32 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = F.explode(F.array("team1", "team2"))
-    return matches(spark, sf_dir).select(both.alias("team_name")).distinct()
-
-
-def _over_struct() -> Column:
-    def delivery(ball: Column) -> Column:
-        c = _ball_columns(ball)
-        has_fielder = F.col("l_linenumber") % 2 == 0
-        fielder = F.struct(_player(F.col("bowling_team"), 1 + F.col("l_partkey") % 4).alias("name"))
-        wicket = F.struct(
-            c["batter"].alias("player_out"),
-            _dismissal().alias("kind"),
-            F.when(has_fielder, F.array(fielder)).alias("fielders"),
-        )
-        return F.struct(
-            c["batter"].alias("batter"),
-            c["bowler"].alias("bowler"),
-            c["non_striker"].alias("non_striker"),
-            F.struct(
-                c["batter_runs"].alias("batter"), c["extras"].alias("extras"), c["total_runs"].alias("total")
-            ).alias("runs"),
-            F.when(
-                c["extras"] > 0,
-                F.struct(
-                    F.nullif(c["wides"], F.lit(0)).alias("wides"), F.nullif(c["legbyes"], F.lit(0)).alias("legbyes")
-                ),
-            ).alias("extras"),
-            F.when(_is_wicket(ball), F.array(wicket)).alias("wickets"),
-        )
+    return matches(spark, sf_dir).selectExpr("explode(array(team1, team2)) AS team_name").distinct()
+
 
-    return F.struct(F.col("over_number").alias("over"), F.transform(_balls(), delivery).alias("deliveries"))
+def _over_struct(defects: bool) -> str:
+    """One over with its six deliveries, from the columns of a line.
+
+    The fault code is read from the line's own match, so the faulty balls are built here and the
+    collected overs need no rewriting.
+    """
+    b = "b"
+    batter, total = _ball("batter_runs", b), _ball("total_runs", b)
+    if defects:
+        fault = "l_orderkey % 97"
+        total = (
+            f"CASE WHEN b = 1 AND {fault} = 5 THEN 8 + {_ball('extras', b)} "
+            f"WHEN b = 1 AND {fault} = 6 THEN {total} + 1 ELSE {total} END"
+        )
+        batter = f"IF(b = 1 AND {fault} = 5, 8, {batter})"
+    return f"""named_struct('over', over_number, 'deliveries', transform(sequence(1, 6), b -> named_struct(
+        'batter', {_ball('batter', b)}, 'bowler', {_ball('bowler', b)}, 'non_striker', {_ball('non_striker', b)},
+        'runs', named_struct('batter', {batter}, 'extras', {_ball('extras', b)}, 'total', {total}),
+        'extras', IF({_ball('extras', b)} > 0, named_struct('wides', nullif({_ball('wides', b)}, 0),
+                     'legbyes', nullif({_ball('legbyes', b)}, 0)), NULL),
+        'wickets', IF(l_returnflag = 'R' AND b = {WICKET_BALL}, array(named_struct(
+                      'player_out', {_ball('batter', b)}, 'kind', {DISMISSAL},
+                      'fielders', IF(l_linenumber % 2 = 0, array(named_struct('name', {FIELDER})), NULL))), NULL))))"""
 
 
 def documents(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataFrame:
@@ -219,139 +197,79 @@ def documents(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataFr
     downstream groups them again. With ``defects``, keys modulo 97 get the faults listed in
     FIXTURES.md B4 plus two: 13 cuts the text short, 14 sets the overs to a JSON null.
     """
-    order = ["over_number", *LINE_COLUMNS]
-    nested = (
-        overs(spark, sf_dir)
-        .groupBy("match_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("innings_number", *order, _over_struct().alias("body"))
-                )
-            ).alias("lines")
-        )
+    line_order = ", ".join(LINE_COLUMNS)
+    lines = overs(spark, sf_dir).selectExpr(
+        "match_id",
+        f"struct(innings_number, over_number, {line_order}, {_over_struct(defects)} AS body) AS line",
     )
-    base = matches(spark, sf_dir).join(nested, "match_id", "left")
-    key = F.col("match_key")
-    fault = key % 97 if defects else F.lit(-1)
-
-    def overs_of(number: int) -> Column:
-        chosen = F.filter(F.coalesce("lines", F.array()), lambda x: x["innings_number"] == number)
-        bodies = F.transform(chosen, lambda x: x["body"])
-        if not defects:
-            return bodies
-
-        def faulty(over: Column) -> Column:
-            def ball(d: Column, i: Column) -> Column:
-                first = i == 0
-                runs = d["runs"]
-                batter = F.when(first & (fault == 5), F.lit(8)).otherwise(runs["batter"])
-                total = (
-                    F.when(first & (fault == 5), 8 + runs["extras"])
-                    .when(first & (fault == 6), runs["total"] + 1)
-                    .otherwise(runs["total"])
-                )
-                return d.withField(
-                    "runs", F.struct(batter.alias("batter"), runs["extras"].alias("extras"), total.alias("total"))
-                )
-
-            return over.withField("deliveries", F.transform(over["deliveries"], ball))
-
-        changed = F.transform(bodies, faulty)
-        return F.when(fault == 12, F.flatten(F.array_repeat(changed, 10))).otherwise(changed)
-
-    size = F.when(fault == 10, 10).otherwise(11 + key % 6).cast("int")
-    winner_by = F.struct(F.col("win_by_runs").alias("runs"), F.col("win_by_wickets").alias("wickets"))
-    year = F.col("season")
-    split_season = F.concat(year, F.lit("/"), F.lpad((year.cast("int") % 100 + 1).cast("string"), 2, "0"))
-    stated_season = F.when(key % 5 == 0, split_season).when(key % 5 == 1, F.lit(None)).otherwise(year)
-    official = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
-    info = F.struct(
-        stated_season.alias("season"),
-        F.array(F.col("match_date").cast("string")).alias("dates"),
-        F.when(fault == 3, F.array(F.col("team1"), F.lit("")))
-        .when(fault == 7, F.array(F.col("team1"), F.col("team2"), F.lit("Third")))
-        .otherwise(F.array("team1", "team2"))
-        .alias("teams"),
-        F.col("match_type").alias("match_type"),
-        F.when(fault != 2, F.col("venue")).alias("venue"),
-        F.col("city").alias("city"),
-        F.when(fault == 4, '"twenty"').when(fault == 11, "25").when(fault == 14, "null").otherwise("20").alias("overs"),
-        F.lit(6).alias("balls_per_over"),
-        F.struct(F.col("toss_winner").alias("winner"), F.col("toss_decision").alias("decision")).alias("toss"),
-        F.struct(
-            F.col("winner").alias("winner"),
-            F.when(F.col("winner").isNotNull(), winner_by).alias("by"),
-            F.col("result").alias("result"),
-        ).alias("outcome"),
-        F.when(F.col("player_of_match").isNotNull(), F.array("player_of_match")).alias("player_of_match"),
-        F.when(
-            fault != 8,
-            F.create_map("team1", _squad(F.col("team1"), size), "team2", _squad(F.col("team2"), size)),
-        ).alias("players"),
-        F.struct(
-            F.create_map(
-                _player(F.col("team1"), F.lit(1)), F.concat(F.lit("id-"), F.col("team1")),
-                _player(F.col("team2"), F.lit(1)), F.concat(F.lit("id-"), F.col("team2")),
-            ).alias("people")
-        ).alias("registry"),
-        F.create_map(
-            F.lit("umpires"),
-            F.array(official("U", F.col("o_custkey") % 40), official("U", (F.col("o_custkey") + 1) % 40)),
-            F.lit("referee"),
-            F.array(official("R", F.col("o_custkey") % 9)),
-        ).alias("officials"),
+    nested = lines.groupBy("match_id").agg(F.expr("sort_array(collect_list(line)) AS lines"))
+    fault = "match_key % 97" if defects else "-1"
+    base = matches(spark, sf_dir).join(nested, "match_id", "left").selectExpr(
+        "*", f"{fault} AS fault", f"CAST(IF({fault} = 10, 10, 11 + match_key % 6) AS INT) AS squad_size"
     )
-    powerplay = F.struct(F.lit(0.1).alias("from"), F.lit(5.6).alias("to"), F.lit("mandatory").alias("type"))
-    innings = F.array(
-        *[
-            F.struct(
-                (F.when(fault == 9, "Nobody").otherwise(F.col("team1")) if n == 1 else F.col("team2")).alias("team"),
-                F.array(powerplay).alias("powerplays"),
-                overs_of(n).alias("overs"),
-            )
-            for n in (1, 2)
-        ]
+
+    def innings(number: int) -> str:
+        bodies = f"transform(filter(coalesce(lines, array()), x -> x.innings_number = {number}), x -> x.body)"
+        team = "IF(fault = 9, 'Nobody', team1)" if number == 1 else "team2"
+        return (
+            f"named_struct('team', {team}, 'powerplays', array(named_struct('from', 0.1D, 'to', 5.6D, 'type', 'mandatory')), "
+            f"'overs', IF(fault = 12, flatten(array_repeat({bodies}, 10)), {bodies}))"
+        )
+
+    def squad(team: str) -> str:
+        return f"transform(sequence(1, squad_size), n -> {team} || '#' || n)"
+
+    overs_value = "CASE fault WHEN 4 THEN '\"twenty\"' WHEN 11 THEN '25' WHEN 14 THEN 'null' ELSE '20' END"
+    info = f"""named_struct(
+        'season', CASE match_key % 5 WHEN 0 THEN season || '/' || lpad(CAST(CAST(season AS INT) % 100 + 1 AS STRING), 2, '0')
+                                     WHEN 1 THEN NULL ELSE season END,
+        'dates', array(CAST(match_date AS STRING)),
+        'teams', CASE fault WHEN 3 THEN array(team1, '') WHEN 7 THEN array(team1, team2, 'Third') ELSE array(team1, team2) END,
+        'match_type', match_type,
+        'venue', IF(fault = 2, NULL, venue),
+        'city', city,
+        'overs', '@overs@',
+        'balls_per_over', balls_per_over,
+        'toss', named_struct('winner', toss_winner, 'decision', toss_decision),
+        'outcome', named_struct('winner', winner,
+            'by', IF(winner IS NULL, NULL, named_struct('runs', win_by_runs, 'wickets', win_by_wickets)), 'result', result),
+        'player_of_match', IF(player_of_match IS NULL, NULL, array(player_of_match)),
+        'players', IF(fault = 8, NULL, map(team1, {squad('team1')}, team2, {squad('team2')})),
+        'registry', named_struct('people', map(team1 || '#1', 'id-' || team1, team2 || '#1', 'id-' || team2)),
+        'officials', map('umpires', array('U' || o_custkey % 40, 'U' || (o_custkey + 1) % 40),
+                         'referee', array('R' || o_custkey % 9)))"""
+    text = base.selectExpr(
+        "match_id", "season AS season_hint", "fault",
+        f"to_json(named_struct('info', {info}, 'innings', IF(fault = 1, NULL, array({innings(1)}, {innings(2)})))) AS raw_data",
     )
-    text = F.to_json(F.struct(info.alias("info"), F.when(fault != 1, innings).alias("innings")))
-    # the overs value is spliced in as raw JSON, so that a number, a string and a null can all occur
-    text = F.regexp_replace(text, r'"overs":"(\\"twenty\\"|25|null|20)"', '"overs":$1')
-    text = F.replace(text, F.lit('\\"twenty\\"'), F.lit('"twenty"'))
-    if defects:
-        text = F.when(fault == 13, F.substring(text, 1, 40)).otherwise(text)
-    return base.select("match_id", year.alias("season_hint"), text.alias("raw_data"))
+    # the overs value is put in as raw JSON, so that a number, a string and a null can all occur
+    text = text.selectExpr(
+        "match_id", "season_hint", f"replace(raw_data, '\"@overs@\"', {overs_value}) AS raw_data", "fault"
+    )
+    return text.selectExpr("match_id", "season_hint", "IF(fault = 13, left(raw_data, 40), raw_data) AS raw_data")
 
 
 def process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    raw = raw.withColumn("k", k)
-    k = F.col("k")
-    even = k % 2 == 0
-    kind = F.col("event_type")
-
-    def pick(a: str, b: str) -> Column:
-        return F.when(even, a).otherwise(b)
-
-    activity = (
-        F.when(kind == "click", pick("bronze", "staging"))
-        .when(kind == "view", pick("validation", "cdc"))
-        .when(kind == "signup", pick("silver", "gold"))
-        .when(kind == "purchase", pick("lakehouse", "serving"))
-        .when(kind == "error", "quarantine")
+    raw = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    staged = raw.selectExpr(
+        "*",
+        """CASE event_type WHEN 'click' THEN IF(k % 2 = 0, 'bronze', 'staging')
+                           WHEN 'view' THEN IF(k % 2 = 0, 'validation', 'cdc')
+                           WHEN 'signup' THEN IF(k % 2 = 0, 'silver', 'gold')
+                           WHEN 'purchase' THEN IF(k % 2 = 0, 'lakehouse', 'serving')
+                           WHEN 'error' THEN 'quarantine' END AS activity""",
+        """CASE WHEN k % 10 = 0 THEN 'RUNNING' WHEN event_type <> 'error' THEN 'SUCCESS'
+                WHEN k % 2 = 0 THEN 'QUARANTINED' ELSE 'FAILED' END AS status""",
     )
-    status = F.when(k % 10 == 0, "RUNNING").when(kind == "error", pick("QUARANTINED", "FAILED")).otherwise("SUCCESS")
-    staged = raw.select("*", activity.alias("activity"), status.alias("status"))
-    end = F.expr("ts + make_dt_interval(0, 0, 0, cast(value as decimal(18,6)))")
-    return staged.select(
+    return staged.selectExpr(
         "event_id",
-        F.concat(F.lit("u"), F.col("user_id"), F.lit("-w"), F.weekofyear("ts")).alias("case_id"),
+        "'u' || user_id || '-w' || weekofyear(ts) AS case_id",
         "activity",
-        F.col("ts").alias("event_timestamp"),
-        F.when(F.col("status") != "RUNNING", end).alias("end_timestamp"),
-        F.when(k % 7 != 0, F.col("value")).alias("duration_seconds"),
+        "ts AS event_timestamp",
+        "IF(status = 'RUNNING', NULL, ts + make_dt_interval(0, 0, 0, CAST(value AS DECIMAL(18,6)))) AS end_timestamp",
+        "IF(k % 7 = 0, NULL, value) AS duration_seconds",
         "status",
-        F.when(k % 11 != 0, k).alias("records_processed"),
-        F.when(F.col("status") == "FAILED", F.concat(F.lit("E"), k)).alias("error_message"),
-        F.concat(F.lit('{"season":"'), 2020 + k % 3, F.lit('"}')).alias("metadata"),
+        "IF(k % 11 = 0, NULL, k) AS records_processed",
+        "IF(status = 'FAILED', 'E' || k, NULL) AS error_message",
+        "'{\"season\":\"' || (2020 + k % 3) || '\"}' AS metadata",
     )
