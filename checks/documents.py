@@ -105,7 +105,7 @@ def checked(spark, sf):
 
 @check("dq_classify", sql("match delivery", "SELECT match_id, error_type FROM classed", CLASSED))
 def dq_classify(spark, sf):
-    return checked(spark, sf).select("match_id", "error.error_type")
+    return checked(spark, sf).select("match_id", "error_type")
 
 
 @check(

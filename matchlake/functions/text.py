@@ -20,10 +20,10 @@ def canonical_name(name: Column, aliases: dict[str, str] | None = None) -> Colum
     return F.coalesce(F.element_at(lookup, trimmed), trimmed)
 
 
-def season_of(season: Column, dates: Column) -> Column:
+def season_of(season: Column, first_date: Column) -> Column:
     """The stated season, else the year of the first date; of "2020/21" the first part."""
     stated = F.when(season != "", season)
-    first_year = F.split_part(F.get(dates, F.lit(0)), F.lit("-"), F.lit(1))
+    first_year = F.split_part(first_date, F.lit("-"), F.lit(1))
     return F.split_part(F.trim(F.coalesce(stated, first_year)), F.lit("/"), F.lit(1))
 
 

@@ -13,6 +13,7 @@ from matchlake.constants import (
     OVERS_RANGE,
     SQUAD_SIZE,
 )
+from matchlake.functions.once import once
 
 NUMBER_TYPES = "^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*|DOUBLE|FLOAT)$"
 
@@ -106,7 +107,10 @@ def first_failure() -> Column:
 
 
 def classify(parsed: DataFrame) -> DataFrame:
-    """Add ``error`` to parsed documents. Everything is computed inside the row: no shuffle."""
+    """Add ``error_type`` and ``error_message``, both NULL for a valid document.
+
+    Everything is computed inside the row: no shuffle.
+    """
     stages = [
         (f"{OVERS} AS over_list", f"coalesce(info.overs, {DEFAULT_OVERS}D) AS over_limit"),
         (f"{BALLS} AS balls",),
@@ -115,21 +119,23 @@ def classify(parsed: DataFrame) -> DataFrame:
     work = parsed
     for columns in stages:
         work = work.selectExpr("*", *columns)
-    return work.select(*parsed.columns, first_failure().alias("error"))
+    work = work.select("*", first_failure().alias("failure"))
+    error = {name: F.col(f"failure.{name}") for name in ("error_type", "error_message")}
+    return once(work, **error).select(*parsed.columns, *error)
 
 
 def valid(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("error").isNull()).drop("error")
+    return checked.where(F.col("error_type").isNull()).drop("error_type", "error_message")
 
 
 def quarantine(checked: DataFrame) -> DataFrame:
     """The failing documents with their reason and full text."""
-    return checked.where(F.col("error").isNotNull()).select(
+    return checked.where(F.col("error_type").isNotNull()).select(
         "season",
         F.concat("match_id", F.lit(".json")).alias("source"),
         F.lit("STAGING").alias("stage"),
-        "error.error_type",
-        "error.error_message",
+        "error_type",
+        "error_message",
         F.col("raw_data").alias("raw_record"),
         F.lit("QUARANTINED").alias("status"),
     )
@@ -139,6 +145,6 @@ def summary(checked: DataFrame) -> DataFrame:
     """Processed, valid and quarantined documents per season."""
     return checked.groupBy("season").agg(
         F.count(F.lit(1)).alias("processed"),
-        F.count(F.when(F.col("error").isNull(), 1)).alias("valid"),
-        F.count("error").alias("quarantined"),
+        F.count(F.when(F.col("error_type").isNull(), 1)).alias("valid"),
+        F.count("error_type").alias("quarantined"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.constants import TEAM_ALIASES
+from matchlake.functions.once import once
 from matchlake.functions.text import canonical_name, season_of
 from matchlake.schemas import INFO, MATCH_DOC, STAGED
 
@@ -24,7 +25,6 @@ def parse(df: DataFrame) -> DataFrame:
 
     ``shape`` tells an absent key from a null or mistyped value, which the typed columns cannot.
     """
-    parsed = df.withColumn("doc", F.from_json("raw_data", MATCH_DOC))
     present = [f"try_variant_get(doc.info, '$.{k}', 'variant') IS NOT NULL AS has_{k}" for k in REQUIRED_KEYS]
     shape = ", ".join(
         [
@@ -36,13 +36,15 @@ def parse(df: DataFrame) -> DataFrame:
     )
     info = f"try_variant_get(doc.info, '$', '{' '.join(INFO.split())}') AS info"
     keep = [c for c in df.columns if c not in ("season", "info", "innings", "shape")]
-    typed = parsed.selectExpr(
-        *keep,
-        info,
-        "doc.innings AS innings",
-        f"struct({shape}) AS shape",
+    parsed = once(df.select(*keep), doc=F.from_json("raw_data", MATCH_DOC))
+    # read by path, so that a filter on the season does not build the whole info struct again
+    season = season_of(
+        F.expr("try_variant_get(doc.info, '$.season', 'string')"),
+        F.expr("try_variant_get(doc.info, '$.dates[0]', 'string')"),
+    )
+    return parsed.select(
+        *keep, F.expr(info), F.col("doc.innings").alias("innings"), F.expr(f"struct({shape}) AS shape"), season.alias("season")
     )
-    return typed.withColumn("season", season_of(F.col("info.season"), F.col("info.dates")))
 
 
 def readable(parsed: DataFrame) -> DataFrame:
