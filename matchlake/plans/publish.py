@@ -9,12 +9,15 @@ Seasons a run does not touch are not copied: they keep pointing at the version t
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARED = "all"
+PARALLEL_WRITES = 4
 COMMITS = "version string, season string, removed boolean, committed_at timestamp"
 
 
@@ -50,6 +53,12 @@ class Store:
             .parquet(f"{self.root}/{table}/version={version}")
         )
 
+    def write_all(self, tables: dict[str, DataFrame], version: str) -> None:
+        """Write independent tables as concurrent jobs, so that small ones do not wait for large ones."""
+        with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+            for done in [pool.submit(self.write, name, df, version) for name, df in tables.items()]:
+                done.result()
+
     def read(self, table: str, entries: dict[str, str] | None = None) -> DataFrame | None:
         """The rows the given seasons point at (by default the published ones), None if there are none.
 

@@ -95,19 +95,20 @@ def load(
     # silver: affected seasons are rewritten, all others stay where they are
     before = {s: current[s] for s in affected_seasons if s in current}
     fresh = silver.flatten(valid)
+    tables = {}
     for table in silver.MATCH_TABLES:
         stored = store.read(table, before)
         rows = fresh[table].join(cdc.keys_of(changes, [cdc.INSERT, cdc.UPDATE]), "match_id", "left_semi")
         if stored is not None:
             # a wicket's fielders and the like are removed with their match
             rows = stored.join(cdc.keys_of(changes, [cdc.UPDATE, cdc.DELETE]), "match_id", "left_anti").unionByName(rows)
-        store.write(table, rows, version)
+        tables[table] = rows
     shared = {SHARED: current[SHARED]} if SHARED in current else {}
-    _write_entities(store, fresh, shared, version)
+    tables.update(_entities(store, fresh, shared))
+    store.write_all(tables, version)
 
     # gold: facts of changed matches, dimensions over everything
-    overlay = {**current, **{s: version for s in affected_seasons}, SHARED: version}
-    by_season = {k: v for k, v in overlay.items() if k != SHARED}
+    by_season = {k: v for k, v in current.items() if k != SHARED} | {s: version for s in affected_seasons}
     of_run = {k: v for k, v in by_season.items() if v == version}
     fact = gold.match_summary_for(
         touched, *[store.read(t, of_run) for t in ("match", "delivery", "wicket")]
@@ -115,31 +116,30 @@ def load(
     stored_fact = store.read("fact_match_summary", before)
     if stored_fact is not None:
         fact = gold.refresh_fact(stored_fact, touched, fact)
-    store.write("fact_match_summary", fact, version)
-    _write_dimensions(store, by_season, overlay, shared, mode, version)
+    tables = {"fact_match_summary": fact, **_dimensions(store, by_season, shared, mode, version)}
 
     lake = silver.flat_record(valid).join(cdc.keys_of(changes, [cdc.INSERT, cdc.UPDATE]), "match_id", "left_semi")
     stored_lake = store.read("lakehouse", before)
     if stored_lake is not None:
         lake = stored_lake.join(touched, "match_id", "left_anti").unionByName(lake)
-    store.write("lakehouse", lake, version)
+    tables["lakehouse"] = lake
 
     # the remembered hashes become visible together with what they describe
     state = store.read("cdc_state", shared) if shared else None
     empty = store.spark.createDataFrame([], "business_key string, record_hash string")
-    store.write("cdc_state", cdc.state_after(empty if state is None else state, changes), version)
+    tables["cdc_state"] = cdc.state_after(empty if state is None else state, changes)
+    store.write_all(tables, version)
     store.commit(version, [*affected_seasons, SHARED])
     return outcome
 
 
-def _write_entities(store: Store, fresh: dict[str, DataFrame], shared: dict[str, str], version: str) -> None:
-    keys = {"team": ["team_name"], "official": ["official_name", "official_role"]}
-    for table, columns in keys.items():
+def _entities(store: Store, fresh: dict[str, DataFrame], shared: dict[str, str]) -> dict[str, DataFrame]:
+    """Teams, officials and players: what was known and what the run brings."""
+    tables = {}
+    for table, columns in {"team": ["team_name"], "official": ["official_name", "official_role"]}.items():
         stored = store.read(table, shared) if shared else None
         rows = fresh[table].select(*columns)
-        if stored is not None:
-            rows = rows.unionByName(stored.select(*columns)).distinct()
-        store.write(table, rows, version)
+        tables[table] = rows if stored is None else rows.unionByName(stored.select(*columns)).distinct()
     players = fresh["player"]
     stored = store.read("player", shared) if shared else None
     if stored is not None:
@@ -149,23 +149,25 @@ def _write_entities(store: Store, fresh: dict[str, DataFrame], shared: dict[str,
         )
         stated = F.when(F.col("registry_id").isNotNull(), F.struct("is_new", "registry_id"))
         players = both.groupBy("player_name").agg(F.max(stated).alias("last")).select("player_name", "last.registry_id")
-    store.write("player", players, version)
+    tables["player"] = players
+    return tables
 
 
-def _write_dimensions(
-    store: Store, by_season: dict[str, str], overlay: dict[str, str], shared: dict[str, str], mode: str, version: str
-) -> None:
+def _dimensions(
+    store: Store, by_season: dict[str, str], shared: dict[str, str], mode: str, version: str
+) -> dict[str, DataFrame]:
+    """Dimensions over all seasons as they will be published; INCREMENTAL keeps vanished entities."""
     matches, deliveries, wickets = [store.read(t, by_season) for t in ("match", "delivery", "wicket")]
     entities = {SHARED: version}
     dimensions = {
         "dim_team": ("team_name", gold.team_dimension(store.read("team", entities), matches, deliveries)),
         "dim_player": ("player_name", gold.player_dimension(store.read("player", entities), deliveries, wickets)),
     }
+    tables = {}
     for table, (key, rows) in dimensions.items():
         stored = store.read(table, shared) if shared and mode == INCREMENTAL else None
-        if stored is not None:
-            rows = gold.upsert(stored.drop("season"), rows, key)
-        store.write(table, rows, version)
+        tables[table] = rows if stored is None else gold.upsert(stored.drop("season"), rows, key)
+    return tables
 
 
 def backfill(store: Store, staged: DataFrame, version: str, first: int, last: int, mode: str = REPROCESS) -> Outcome:
