@@ -47,7 +47,7 @@ def _rules() -> list[tuple[str, str, str]]:
     low, high = SQUAD_SIZE
     fewest, most = OVERS_RANGE
     return [
-        ("SCHEMA_VALIDATION", "NOT shape.has_info OR NOT shape.has_innings", "'not a document with info and innings'"),
+        ("SCHEMA_VALIDATION", "info IS NULL OR innings IS NULL", "'not a document with info and innings'"),
         *[
             ("REQUIRED_FIELDS", f"NOT shape.has_{key}", f"'info.{key} is missing'")
             for key in ("teams", "dates", "match_type", "venue")

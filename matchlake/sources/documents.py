@@ -8,10 +8,22 @@ from pyspark.sql import functions as F
 from matchlake.constants import TEAM_ALIASES
 from matchlake.functions.once import once
 from matchlake.functions.text import canonical_name, season_of
-from matchlake.schemas import INFO, MATCH_DOC, STAGED
+from matchlake.schemas import MATCH_DOC, STAGED
 
 REQUIRED_KEYS = ["teams", "dates", "match_type", "venue"]
 
+# What the text itself says about the keys of ``info``.
+INSPECTED = """get(transform(array(try_parse_json(raw_data)), v -> named_struct({presence},
+    'overs_type', schema_of_variant(try_variant_get(v, '$.info.overs', 'variant')))), 0)""".format(
+    presence=", ".join(
+        f"'has_{key}', try_variant_get(v, '$.info.{key}', 'variant') IS NOT NULL" for key in REQUIRED_KEYS
+    )
+)
+# What is known without looking when every key in question holds a value of its type.
+ALL_PRESENT = "named_struct({presence}, 'overs_type', 'DOUBLE')".format(
+    presence=", ".join(f"'has_{key}', true" for key in REQUIRED_KEYS)
+)
+
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(match_id, raw_data) of a folder of JSON files, one document per file."""
@@ -21,29 +33,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(df: DataFrame) -> DataFrame:
-    """Add info, innings, the normalised season and the facts about key presence.
+    """Add info, innings, the normalised season and ``shape``, the facts about key presence.
 
-    ``shape`` tells an absent key from a null or mistyped value, which the typed columns cannot.
+    A typed column cannot tell an absent key from a null or mistyped value. Only documents where
+    one of the keys in question came out empty are looked at again, as a VARIANT; all others cost a
+    single pass over their text.
     """
-    present = [f"try_variant_get(doc.info, '$.{k}', 'variant') IS NOT NULL AS has_{k}" for k in REQUIRED_KEYS]
-    shape = ", ".join(
-        [
-            "doc.info IS NOT NULL AS has_info",
-            "doc.innings IS NOT NULL AS has_innings",
-            *present,
-            "schema_of_variant(try_variant_get(doc.info, '$.overs', 'variant')) AS overs_type",
-        ]
-    )
-    info = f"try_variant_get(doc.info, '$', '{' '.join(INFO.split())}') AS info"
     keep = [c for c in df.columns if c not in ("season", "info", "innings", "shape")]
-    parsed = once(df.select(*keep), doc=F.from_json("raw_data", MATCH_DOC))
-    # read by path, so that a filter on the season does not build the whole info struct again
-    season = season_of(
-        F.expr("try_variant_get(doc.info, '$.season', 'string')"),
-        F.expr("try_variant_get(doc.info, '$.dates[0]', 'string')"),
-    )
-    return parsed.select(
-        *keep, F.expr(info), F.col("doc.innings").alias("innings"), F.expr(f"struct({shape}) AS shape"), season.alias("season")
+    doc = once(df.select(*keep), doc=F.from_json("raw_data", MATCH_DOC))
+    holds_all = " AND ".join(f"doc.info.{key} IS NOT NULL" for key in [*REQUIRED_KEYS, "overs"])
+    return doc.select(
+        *keep,
+        F.col("doc.info").alias("info"),
+        F.col("doc.innings").alias("innings"),
+        F.expr(f"IF({holds_all}, {ALL_PRESENT}, {INSPECTED})").alias("shape"),
+        season_of(F.col("doc.info.season"), F.get("doc.info.dates", F.lit(0))).alias("season"),
     )
 
 
