@@ -25,6 +25,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def commits(self) -> DataFrame:
         try:
@@ -44,6 +45,8 @@ class Store:
         """Write a run's rows of a table. A table without a season is stored under one shared entry."""
         if "season" not in df.columns:
             df = df.withColumn("season", F.lit(SHARED))
+        # an empty result leaves no file to read the columns from
+        self._schemas[table] = df.schema
         (
             df.hint("rebalance", "season")
             .write.partitionBy("season")
@@ -65,20 +68,31 @@ class Store:
         The choice is a partition filter: folders of other versions and seasons are not read.
         """
         entries = self.current() if entries is None else entries
-        path = f"{self.root}/{table}"
-        try:
-            inferred = self.spark.read.parquet(path).schema
-        except AnalysisException:
-            return None
-        as_text = [
-            T.StructField(f.name, T.StringType()) if f.name in ("season", "version") else f for f in inferred.fields
-        ]
         chosen: Column = F.lit(False)
         for version in sorted(set(entries.values())):
             seasons = [s for s, v in entries.items() if v == version]
             chosen = chosen | ((F.col("version") == version) & F.col("season").isin(seasons))
-        rows = self.spark.read.schema(T.StructType(as_text)).parquet(path).where(chosen)
-        return rows.drop("version")
+        rows = self._open(table)
+        return None if rows is None else rows.where(chosen).drop("version")
+
+    def read_version(self, table: str, version: str) -> DataFrame:
+        """A table as one run wrote it, published or not."""
+        return self._open(table).where(F.col("version") == version).drop("version")
+
+    def _open(self, table: str) -> DataFrame | None:
+        """All versions and seasons of a table; both partition columns stay text."""
+        path = f"{self.root}/{table}"
+        if table not in self._schemas:
+            try:
+                self._schemas[table] = self.spark.read.parquet(path).schema
+            except AnalysisException:
+                return None
+        columns = [f for f in self._schemas[table].fields if f.name not in ("season", "version")]
+        keys = [T.StructField(name, T.StringType()) for name in ("season", "version")]
+        try:
+            return self.spark.read.schema(T.StructType(columns + keys)).parquet(path)
+        except AnalysisException:
+            return None
 
     def commit(self, version: str, seasons: list[str], removed: bool = False) -> None:
         """Make a run's seasons the published ones: a single new file, so all or nothing."""

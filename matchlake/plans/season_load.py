@@ -31,13 +31,7 @@ def check_documents(store: Store, staged: DataFrame, version: str, seasons: list
     parsed = documents.parse(documents.one_per_match(staged.select("match_id", "raw_data")))
     routed = documents.route(parsed, seasons)
     store.write("checked", quality.classify(routed), version)
-    return read_run(store, "checked", version)
-
-
-def read_run(store: Store, table: str, version: str) -> DataFrame:
-    """A table as this run wrote it, before it is published."""
-    df = store.spark.read.parquet(f"{store.root}/{table}/version={version}")
-    return df.withColumn("season", F.col("season").cast("string"))
+    return store.read_version("checked", version)
 
 
 def _detect(store: Store, valid: DataFrame, mode: str, seasons: list[str] | None, complete: bool, version: str) -> DataFrame:
@@ -56,7 +50,7 @@ def _detect(store: Store, valid: DataFrame, mode: str, seasons: list[str] | None
         again = F.when(F.col("operation") == cdc.SKIP, cdc.UPDATE).otherwise(F.col("operation"))
         changes = changes.withColumn("operation", again)
     store.write("cdc_log", cdc.change_log(changes, version), version)
-    return read_run(store, "cdc_log", version)
+    return store.read_version("cdc_log", version)
 
 
 def load(
