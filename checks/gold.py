@@ -29,7 +29,7 @@ def show_players(dimension):
 
 def fact(spark, sf):
     return gold.match_summary(
-        adapters.matches(spark, sf), adapters.deliveries(spark, sf), adapters.wickets(spark, sf)
+        adapters.matches(spark, sf), adapters.ball_scores(spark, sf), adapters.wicket_matches(spark, sf)
     )
 
 
@@ -69,10 +69,9 @@ def changed_inputs(spark, sf):
     digit = F.col("match_id").cast("bigint") % 10
     matches = adapters.matches(spark, sf)
     keys = matches.where((F.col("match_key") % 10).isin(1, 2)).select("match_id")
-    after = adapters.deliveries(spark, sf).where(digit != 2)
-    more = F.when(digit == 1, 1).otherwise(0)
-    after = after.withColumn("extras", F.col("extras") + more).withColumn("total_runs", F.col("total_runs") + more)
-    return keys, matches.where(digit != 2), after, adapters.wickets(spark, sf).where(digit != 2)
+    after = adapters.ball_scores(spark, sf).where(digit != 2)
+    after = after.withColumn("total_runs", F.col("total_runs") + F.when(digit == 1, 1).otherwise(0))
+    return keys, matches.where(digit != 2), after, adapters.wicket_matches(spark, sf).where(digit != 2)
 
 
 @check("gold_fact_incremental", sql("fact delivery", f"SELECT {FACT} FROM ({CHANGED})"))
@@ -155,3 +154,17 @@ def dim_player_upsert(spark, sf):
         )
 
     return gold.upsert(batters("season < '1998'"), batters("season >= '2001'"), "player_name")
+
+
+@check("gold_dim_team_from_seasons", sql("dim_team", "SELECT * FROM dim_team"))
+def gold_dim_team_from_seasons(spark, sf):
+    """Totals per season first, then the career figures from them."""
+    totals = gold.team_totals(adapters.matches(spark, sf), adapters.deliveries(spark, sf), ["season"])
+    return gold.team_dimension_from(adapters.teams(spark, sf), totals)
+
+
+@check("gold_dim_player_from_seasons", sql("dim_player", "SELECT * FROM dim_player"))
+def gold_dim_player_from_seasons(spark, sf):
+    """Totals per season first, then the career figures from them."""
+    totals = gold.player_totals(adapters.deliveries(spark, sf), adapters.wickets(spark, sf), ["season"])
+    return show_players(gold.player_dimension_from(adapters.players(spark, sf), totals))

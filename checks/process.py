@@ -366,9 +366,7 @@ def bpm_lead_time(spark, sf):
     return reports.lead_time(events(spark, sf))
 
 
-@check(
-    "bpm_case_breakdown",
-    sql(
+CASE_BREAKDOWN = sql(
         "ev",
         f"SELECT case_id, {stamp_sql('min(event_timestamp)')} AS process_start, {stamp_sql('max(coalesce(end_timestamp, event_timestamp))')} AS process_end, "
         f"{half_up('max(coalesce(end_us, start_us)) - min(start_us)', '1000000', 2).replace('max(coalesce(end_us, start_us)) - min(start_us)', '(max(coalesce(end_us, start_us)) - min(start_us))')} AS lead_time_seconds, "
@@ -376,13 +374,24 @@ def bpm_lead_time(spark, sf):
         "string_agg(activity, ' -> ' ORDER BY event_timestamp, event_id) AS executed_path, "
         "CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED' WHEN bool_or(status = 'QUARANTINED') THEN 'QUARANTINED' ELSE 'SUCCESS' END AS overall_status "
         "FROM ev GROUP BY case_id",
-    ),
-)
-def bpm_case_breakdown(spark, sf):
-    rows = reports.case_breakdown(events(spark, sf))
+    )
+
+
+def _breakdown(rows):
     return rows.withColumn("process_start", stamp("process_start")).withColumn("process_end", stamp("process_end"))
 
 
+@check("bpm_case_breakdown", CASE_BREAKDOWN)
+def bpm_case_breakdown(spark, sf):
+    return _breakdown(reports.case_breakdown(events(spark, sf)))
+
+
+@check("bpm_case_breakdown_hot", CASE_BREAKDOWN)
+def bpm_case_breakdown_hot(spark, sf):
+    """The same with a hot-case limit so low that large cases are put together from slices."""
+    return _breakdown(reports.case_breakdown(events(spark, sf), hot_rows=HOT_ROWS, slices=16))
+
+
 @check(
     "bpm_stage_benchmark",
     sql(

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.session import reliable_checkpoint
+from matchlake.session import reliable_checkpoint, written
 
 SLICE = "__slice"
 HOT_KEY_ROWS = 2_000_000
@@ -40,7 +40,7 @@ def split_hot(df: DataFrame, key: str, limit: int = HOT_KEY_ROWS) -> tuple[DataF
     hot = df.groupBy(key).count().where(F.col("count") > limit).select(F.col(key).alias("__hot"))
     if hot.isEmpty():
         return df, None
-    hot = reliable_checkpoint(hot)
+    hot = written(hot, "hot-keys")
     match = F.col(key).eqNullSafe(F.col("__hot"))
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
 

@@ -42,32 +42,52 @@ def refresh_fact(fact: DataFrame, changed: DataFrame, recomputed: DataFrame) ->
     return fact.join(changed, "match_id", "left_anti").unionByName(recomputed)
 
 
-def team_dimension(teams: DataFrame, matches: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Matches played, wins and scoring per team.
+TEAM_MEASURES = ["matches_played", "wins", "total_runs", "total_boundaries", "total_sixes"]
+
+
+def team_totals(matches: DataFrame, deliveries: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Matches played, wins and scoring per team (and per ``by``, e.g. season).
 
     "team1 = t OR team2 = t" becomes two rows per match and an equi-join; counting is done before
     the join, so a popular team costs one row there.
     """
+    by = by or []
+    keys = [*by, "team_name"]
     sides = matches.select(
-        "match_id", "winner", F.explode(F.array_distinct(F.array("team1", "team2"))).alias("team_name")
+        *by, "match_id", "winner", F.explode(F.array_distinct(F.array("team1", "team2"))).alias("team_name")
     )
-    played = sides.groupBy("team_name").agg(
+    played = sides.groupBy(*keys).agg(
         F.count_distinct("match_id").alias("matches_played"),
         F.count_distinct(F.when(F.col("winner") == F.col("team_name"), F.col("match_id"))).alias("wins"),
     )
-    scored = deliveries.groupBy(F.col("batting_team").alias("team_name")).agg(
+    scored = deliveries.groupBy(*by, F.col("batting_team").alias("team_name")).agg(
         F.sum("total_runs").alias("total_runs"),
         _count_if(F.col("batter_runs") == 4).alias("total_boundaries"),
         _count_if(F.col("batter_runs") == 6).alias("total_sixes"),
     )
-    joined = teams.select("team_name").distinct().join(played, "team_name", "left").join(scored, "team_name", "left")
-    measures = ["matches_played", "wins", "total_runs", "total_boundaries", "total_sixes"]
-    return joined.select("team_name", *[_zero(m) for m in measures])
+    return played.join(scored, keys, "full_outer")
 
 
-def batting_innings(deliveries: DataFrame) -> DataFrame:
+def _team_rows(teams: DataFrame, totals: DataFrame) -> DataFrame:
+    joined = teams.select("team_name").distinct().join(totals, "team_name", "left")
+    return joined.select("team_name", *[_zero(m) for m in TEAM_MEASURES])
+
+
+def team_dimension(teams: DataFrame, matches: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Career figures of every known team."""
+    return _team_rows(teams, team_totals(matches, deliveries))
+
+
+def team_dimension_from(teams: DataFrame, season_totals: DataFrame) -> DataFrame:
+    """The same from stored totals per season. A match belongs to one season, so all figures add up,
+    and a load recomputes the totals of its own seasons only."""
+    summed = season_totals.groupBy("team_name").agg(*[F.sum(m).alias(m) for m in TEAM_MEASURES])
+    return _team_rows(teams, summed)
+
+
+def batting_innings(deliveries: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Runs, balls, fours and sixes per (match, innings, batter)."""
-    return deliveries.groupBy("match_id", "innings_number", F.col("batter").alias("player_name")).agg(
+    return deliveries.groupBy(*(by or []), "match_id", "innings_number", F.col("batter").alias("player_name")).agg(
         F.sum("batter_runs").alias("runs"),
         F.count(F.lit(1)).alias("balls"),
         _count_if(F.col("batter_runs") == 4).alias("fours"),
@@ -75,15 +95,17 @@ def batting_innings(deliveries: DataFrame) -> DataFrame:
     )
 
 
-def bowling_innings(deliveries: DataFrame, wickets: DataFrame) -> DataFrame:
+def bowling_innings(deliveries: DataFrame, wickets: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Balls, runs conceded and wickets per (match, innings, bowler); every dismissal counts."""
-    keys = ["match_id", "innings_number", "bowler"]
+    by = by or []
+    keys = [*by, "match_id", "innings_number", "bowler"]
     bowled = deliveries.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("balls"), F.sum("total_runs").alias("conceded")
     )
     taken = wickets.groupBy(*keys).agg(F.count(F.lit(1)).alias("taken"))
     joined = bowled.join(taken, keys, "left")
     return joined.select(
+        *by,
         "match_id",
         "innings_number",
         F.col("bowler").alias("player_name"),
@@ -93,14 +115,20 @@ def bowling_innings(deliveries: DataFrame, wickets: DataFrame) -> DataFrame:
     )
 
 
-def player_dimension(players: DataFrame, deliveries: DataFrame, wickets: DataFrame) -> DataFrame:
-    """Career figures of every known player who batted or bowled.
+PLAYER_MAXIMA = ["highest_score", "best_wickets"]
+PLAYER_SUMS = [m for m in PLAYER_MEASURES if m not in (*PLAYER_MAXIMA, "overs_bowled")]
+
+
+def player_totals(deliveries: DataFrame, wickets: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Batting and bowling figures per player (and per ``by``, e.g. season).
 
     The innings level is unique per (match, innings, player), so innings are a plain count; a NULL
     innings number still counts, as a row comparison would have it.
     """
+    by = by or []
+    keys = [*by, "player_name"]
     runs = F.col("runs")
-    batting = batting_innings(deliveries).groupBy("player_name").agg(
+    batting = batting_innings(deliveries, by).groupBy(*keys).agg(
         F.count_distinct("match_id").alias("batting_matches"),
         F.count(F.lit(1)).alias("batting_innings"),
         F.sum("runs").alias("total_runs"),
@@ -111,27 +139,38 @@ def player_dimension(players: DataFrame, deliveries: DataFrame, wickets: DataFra
         _count_if((runs >= 50) & (runs < 100)).alias("fifties"),
         _count_if(runs >= 100).alias("hundreds"),
     )
-    balls = F.sum("balls")
-    bowling = bowling_innings(deliveries, wickets).groupBy("player_name").agg(
+    bowling = bowling_innings(deliveries, wickets, by).groupBy(*keys).agg(
         F.count_distinct("match_id").alias("bowling_matches"),
         F.count(F.lit(1)).alias("bowling_innings"),
-        balls.alias("balls_bowled"),
-        F.round(balls.cast("decimal(18,0)") / F.lit(DEFAULT_BALLS_PER_OVER).cast("decimal(2,0)"), 1)
-        .cast("decimal(18,1)")
-        .alias("overs_bowled"),
+        F.sum("balls").alias("balls_bowled"),
         F.sum("conceded").alias("runs_conceded"),
         F.sum("taken").alias("wickets_taken"),
         F.max("taken").alias("best_wickets"),
     )
-    careers = batting.join(bowling, "player_name", "full_outer")
-    known = careers.join(players.select("player_name"), "player_name", "left_semi")
-    measures = [
-        F.coalesce(F.col(m), F.lit(0).cast("decimal(18,1)")).alias(m) if m == "overs_bowled" else _zero(m)
-        for m in PLAYER_MEASURES
-    ]
+    return batting.join(bowling, keys, "full_outer")
+
+
+def _player_rows(players: DataFrame, totals: DataFrame) -> DataFrame:
+    known = totals.join(players.select("player_name"), "player_name", "left_semi")
+    balls = F.coalesce("balls_bowled", F.lit(0)).cast("decimal(18,0)")
+    overs = F.round(balls / F.lit(DEFAULT_BALLS_PER_OVER).cast("decimal(2,0)"), 1).cast("decimal(18,1)")
+    measures = [overs.alias(m) if m == "overs_bowled" else _zero(m) for m in PLAYER_MEASURES]
     return known.select("player_name", *measures)
 
 
+def player_dimension(players: DataFrame, deliveries: DataFrame, wickets: DataFrame) -> DataFrame:
+    """Career figures of every known player who batted or bowled."""
+    return _player_rows(players, player_totals(deliveries, wickets))
+
+
+def player_dimension_from(players: DataFrame, season_totals: DataFrame) -> DataFrame:
+    """The same from stored totals per season."""
+    career = season_totals.groupBy("player_name").agg(
+        *[F.sum(m).alias(m) for m in PLAYER_SUMS], *[F.max(m).alias(m) for m in PLAYER_MAXIMA]
+    )
+    return _player_rows(players, career)
+
+
 def upsert(current: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
     """Fresh rows win; rows whose key is missing from ``fresh`` stay as they are."""
     return fresh.unionByName(current.join(fresh.select(key), key, "left_anti"))

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from matchlake.constants import EXTREME_LATENCY_SECONDS, SLA_REPORT_SECONDS
 from matchlake.functions.numbers import exact, half_up, ratio, seconds, seconds_between
+from matchlake.functions.scans import SLICE, slice_rows, split_hot
 from matchlake.functions.text import event_season
 
 AUDIT_ROWS = 50
 PATH_SEPARATOR = " -> "
+PATH_ROWS = 100_000
 
 
 def _count_if(condition: Column) -> Column:
@@ -41,34 +43,48 @@ def lead_time(events: DataFrame) -> DataFrame:
     )
 
 
-def case_breakdown(events: DataFrame) -> DataFrame:
-    """Bounds, counts, overall status and executed path per case.
-
-    The path is one text per case by definition. It is put together in two steps, per case and day
-    and then per case, so that no step sorts all events of a long-running case at once and only
-    finished day texts travel to the second one.
-    """
-    day = F.to_date("event_timestamp").alias("day")
+def _case_parts(df: DataFrame, *keys: str) -> DataFrame:
     steps = F.sort_array(F.collect_list(F.struct("event_timestamp", "event_id", "activity")))
-    days = events.groupBy("case_id", day).agg(
+    return df.groupBy(*keys).agg(
         F.min("event_timestamp").alias("process_start"),
         F.max(_last_seen()).alias("process_end"),
-        F.sum("records_processed").alias("records"),
-        F.count(F.lit(1)).alias("stages"),
-        F.max(F.col("status") == "FAILED").alias("failed"),
-        F.max(F.col("status") == "QUARANTINED").alias("quarantined"),
-        F.array_join(F.transform(steps, lambda s: s["activity"]), PATH_SEPARATOR).alias("path"),
+        F.sum("records_processed").alias("total_records_processed"),
+        F.count(F.lit(1)).alias("total_stages_executed"),
+        F.array_join(F.transform(steps, lambda s: s["activity"]), PATH_SEPARATOR).alias("executed_path"),
+        F.bool_or(F.col("status") == "FAILED").alias("failed"),
+        F.bool_or(F.col("status") == "QUARANTINED").alias("quarantined"),
     )
-    parts = F.sort_array(F.collect_list(F.struct("day", "path")))
-    cases = days.groupBy("case_id").agg(
+
+
+def _join_parts(parts: DataFrame) -> DataFrame:
+    """The slices of a case put together: as many rows per case as it has slices."""
+    texts = F.sort_array(F.collect_list(F.struct(SLICE, "executed_path")))
+    return parts.groupBy("case_id").agg(
         F.min("process_start").alias("process_start"),
         F.max("process_end").alias("process_end"),
-        F.sum("records").alias("total_records_processed"),
-        F.sum("stages").alias("total_stages_executed"),
-        F.array_join(F.transform(parts, lambda p: p["path"]), PATH_SEPARATOR).alias("executed_path"),
+        F.sum("total_records_processed").alias("total_records_processed"),
+        F.sum("total_stages_executed").alias("total_stages_executed"),
+        F.array_join(F.transform(texts, lambda t: t["executed_path"]), PATH_SEPARATOR).alias("executed_path"),
         F.bool_or("failed").alias("failed"),
         F.bool_or("quarantined").alias("quarantined"),
     )
+
+
+def case_breakdown(events: DataFrame, hot_rows: int = PATH_ROWS, slices: int | None = None) -> DataFrame:
+    """Bounds, counts, overall status and executed path per case.
+
+    The path is one text per case by definition. For a case of more than ``hot_rows`` events the
+    sorting is spread over slices of the ordered events, and only their finished texts meet.
+    """
+    needed = events.select(
+        "case_id", "event_id", "activity", "event_timestamp", "end_timestamp", "records_processed", "status"
+    )
+    ordinary, hot = split_hot(needed, "case_id", hot_rows)
+    cases = _case_parts(ordinary, "case_id")
+    if hot is not None:
+        slices = slices or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sliced = slice_rows(hot, "case_id", ["event_timestamp", "event_id"], slices)
+        cases = cases.unionByName(_join_parts(_case_parts(sliced, "case_id", SLICE)))
     status = F.when(F.col("failed"), "FAILED").when(F.col("quarantined"), "QUARANTINED").otherwise("SUCCESS")
     return cases.select(
         "case_id",

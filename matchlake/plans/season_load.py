@@ -101,16 +101,20 @@ def load(
     tables.update(_entities(store, fresh, shared))
     store.write_all(tables, version)
 
-    # gold: facts of changed matches, dimensions over everything
+    # gold: facts of changed matches, totals of affected seasons, dimensions from all totals
     by_season = {k: v for k, v in current.items() if k != SHARED} | {s: version for s in affected_seasons}
-    of_run = {k: v for k, v in by_season.items() if v == version}
-    fact = gold.match_summary_for(
-        touched, *[store.read(t, of_run) for t in ("match", "delivery", "wicket")]
-    )
+    of_run = {s: version for s in affected_seasons}
+    matches, deliveries, wickets = [store.read(t, of_run) for t in ("match", "delivery", "wicket")]
+    fact = gold.match_summary_for(touched, matches, deliveries, wickets)
     stored_fact = store.read("fact_match_summary", before)
     if stored_fact is not None:
         fact = gold.refresh_fact(stored_fact, touched, fact)
-    tables = {"fact_match_summary": fact, **_dimensions(store, by_season, shared, mode, version)}
+    totals = {
+        "team_season": gold.team_totals(matches, deliveries, ["season"]),
+        "player_season": gold.player_totals(deliveries, wickets, ["season"]),
+    }
+    store.write_all({"fact_match_summary": fact, **totals}, version)
+    tables = _dimensions(store, by_season, shared, mode, version)
 
     lake = silver.flat_record(valid).join(cdc.keys_of(changes, [cdc.INSERT, cdc.UPDATE]), "match_id", "left_semi")
     stored_lake = store.read("lakehouse", before)
@@ -151,11 +155,11 @@ def _dimensions(
     store: Store, by_season: dict[str, str], shared: dict[str, str], mode: str, version: str
 ) -> dict[str, DataFrame]:
     """Dimensions over all seasons as they will be published; INCREMENTAL keeps vanished entities."""
-    matches, deliveries, wickets = [store.read(t, by_season) for t in ("match", "delivery", "wicket")]
     entities = {SHARED: version}
+    totals = {name: store.read(name, by_season) for name in ("team_season", "player_season")}
     dimensions = {
-        "dim_team": ("team_name", gold.team_dimension(store.read("team", entities), matches, deliveries)),
-        "dim_player": ("player_name", gold.player_dimension(store.read("player", entities), deliveries, wickets)),
+        "dim_team": ("team_name", gold.team_dimension_from(store.read("team", entities), totals["team_season"])),
+        "dim_player": ("player_name", gold.player_dimension_from(store.read("player", entities), totals["player_season"])),
     }
     tables = {}
     for table, (key, rows) in dimensions.items():

@@ -22,6 +22,10 @@ def build_session(app: str = "matchlake", master: str | None = None, **conf: str
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # streaming state lives on local disk with changelogs in the checkpoint, not on the heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     defaults.update(conf)
     for key, value in defaults.items():
@@ -50,6 +54,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/matchlake/{label}-{uuid.uuid4().hex}"
 
 
+def written(df, label: str):
+    """``df`` as a table in the shared folder: computed once, and of a size Spark then knows, so that
+    a join broadcasts it only if it really is small."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` into the shared folder, which survives the loss of executors."""
     spark = df.sparkSession

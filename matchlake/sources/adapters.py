@@ -147,6 +147,22 @@ def wickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ball_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every ball, for what needs neither team nor player: no join, and the aggregation
+    above combines before its shuffle."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS match_id", "l_partkey", "l_quantity", "explode(sequence(1, 6)) AS ball"
+    )
+    return lines.selectExpr("match_id", f"{_ball('batter_runs')} AS batter_runs", f"{_ball('total_runs')} AS total_runs")
+
+
+def wicket_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match of every wicket, likewise without a join."""
+    return table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr(
+        "CAST(l_orderkey AS STRING) AS match_id"
+    )
+
+
 def squads(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = matches(spark, sf_dir).selectExpr(
         "match_id", "season", "match_key", "explode(array(team1, team2)) AS team_name"

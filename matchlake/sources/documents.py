@@ -9,6 +9,7 @@ from matchlake.constants import TEAM_ALIASES
 from matchlake.functions.once import once
 from matchlake.functions.text import canonical_name, season_of
 from matchlake.schemas import MATCH_DOC, STAGED
+from matchlake.session import written
 
 REQUIRED_KEYS = ["teams", "dates", "match_type", "venue"]
 
@@ -85,11 +86,18 @@ def route(
 def one_per_match(df: DataFrame) -> DataFrame:
     """Drop further copies of a match; among differing copies the greatest text is kept.
 
-    Copies are combined before the shuffle, so a document repeated very often costs one row per task.
+    Which ids repeat is found from the id column alone. Without any, nothing is moved; otherwise
+    only the repeated documents are, and their copies are combined before the shuffle.
     """
+    repeated = df.groupBy("match_id").count().where("count > 1").select("match_id")
+    if repeated.isEmpty():
+        return df
+    repeated = written(repeated, "repeated-ids")
     others = [c for c in df.columns if c not in ("match_id", "raw_data")]
     kept = F.max(F.struct("raw_data", *others)).alias("kept")
-    return df.groupBy("match_id").agg(kept).select("match_id", "kept.*").select(*df.columns)
+    copies = df.join(repeated, "match_id", "left_semi").groupBy("match_id").agg(kept)
+    single = df.join(repeated, "match_id", "left_anti")
+    return single.select(*df.columns).unionByName(copies.select("match_id", "kept.*").select(*df.columns))
 
 
 def envelopes(routed: DataFrame) -> DataFrame:
