@@ -85,7 +85,7 @@ def test_filtered_snapshot_deletes_nothing(spark, store):
 
 def test_failed_run_changes_nothing(spark, store, monkeypatch):
     season_load.load(store, documents(spark, {"a": document()}), "v1")
-    monkeypatch.setattr(season_load.gold, "team_dimension", lambda *a: 1 / 0)
+    monkeypatch.setattr(season_load.gold, "team_dimension_from", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2")
     monkeypatch.undo()
