@@ -71,7 +71,7 @@ def test_load_again_with_changes(spark, store):
     # the untouched season still points at the first version
     assert store.current() == {"2023": "v1", "2024": "v3", "all": "v3"}
     assert store.read("delivery").count() == (100 + 35 + 35) // 5
-    team = store.read("dim_team").where("team_name = 'Chennai Super Kings'").first()
+    team = store.read("dim_team").where("team_name = 'Northern Lions'").first()
     assert (team["matches_played"], team["total_runs"]) == (3, 170)
     assert store.read("lakehouse").count() == 3
 

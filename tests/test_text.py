@@ -18,7 +18,7 @@ def one(spark, column):
         ("Kings XI Punjab", "Punjab Kings"),
         ("Rising Pune Supergiant", "Rising Pune Supergiants"),
         (" Royal Challengers Bangalore ", "Royal Challengers Bengaluru"),
-        ("Mumbai Indians", "Mumbai Indians"),
+        ("Southern Stars", "Southern Stars"),
         ("", ""),
         (None, None),
     ],
