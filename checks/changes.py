@@ -130,7 +130,6 @@ def source_registry(spark, sf):
     )
 
 
-LOADED = "1996"
 RANGE = ("1996", "1998")
 
 
@@ -160,25 +159,25 @@ def backfill_range(spark, sf):
         "match delivery wicket",
         "SELECT m.match_id, m.season, m.winner, CAST(coalesce(r.runs, 0) AS INT) AS total_runs, CAST(coalesce(w.n, 0) AS INT) AS total_wickets FROM "
         "(SELECT * REPLACE (CASE WHEN match_key % 10 = 1 THEN team1 ELSE winner END AS winner) FROM match "
-        f"WHERE season = '{LOADED}' AND match_key % 10 <> 2) m "
+        "WHERE match_key % 10 <> 2) m "
         "LEFT JOIN (SELECT match_id, sum(total_runs) AS runs FROM delivery GROUP BY 1) r USING (match_id) "
         "LEFT JOIN (SELECT match_id, count(*) AS n FROM wicket GROUP BY 1) w USING (match_id) "
         "WHERE coalesce(r.runs, 0) >= 30 OR m.winner IS NULL OR m.result = 'no result'",
     ),
 )
 def incremental_load(spark, sf):
-    """A season loaded, then loaded again with new, changed and missing documents."""
+    """All documents loaded, then loaded again with new, changed and missing ones."""
     store = Store(spark, scratch(spark, "incremental"))
-    docs = adapters.documents(spark, sf).where(F.col("season_hint") == LOADED)
+    docs = adapters.documents(spark, sf)
     digit = F.col("match_id").cast("bigint") % 10
-    season_load.load(store, docs.where(digit != 0), "run-1", [LOADED])
+    season_load.load(store, docs.where(digit != 0), "run-1")
     home = F.regexp_extract("raw_data", '"teams":\\["([^"]+)"', 1)
     rewritten = F.expr("""regexp_replace(raw_data, '"outcome":[{]("winner":"[^"]*",?)?', '"outcome":{')""")
     won = F.regexp_replace(rewritten, '"outcome":\\{', F.concat(F.lit('"outcome":{"winner":"'), home, F.lit('",')))
     # an outcome without further fields must not keep the comma
     won = F.replace(won, F.lit('",}'), F.lit('"}'))
     new = docs.where(digit != 2).withColumn("raw_data", F.when(digit == 1, won).otherwise(F.col("raw_data")))
-    season_load.load(store, new, "run-2", [LOADED])
+    season_load.load(store, new, "run-2")
     return store.read("fact_match_summary").select("match_id", "season", "winner", "total_runs", "total_wickets")
 
 

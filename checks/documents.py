@@ -21,17 +21,18 @@ def parsed(spark, sf, defects=False):
     "doc_parse",
     sql(
         "match over_row",
-        "SELECT m.match_id, m.season, m.team1, m.team2, 2 AS innings, CAST(coalesce(o.n, 0) AS INT) AS overs "
+        "SELECT m.match_id, m.season, m.team1, CASE WHEN match_key % 97 = 3 THEN '' ELSE m.team2 END AS team2, "
+        "CASE WHEN match_key % 97 <> 1 THEN 2 END AS innings, "
+        "CAST(CASE match_key % 97 WHEN 1 THEN NULL WHEN 12 THEN 10 * coalesce(o.n, 0) ELSE coalesce(o.n, 0) END AS INT) AS overs "
         "FROM match m LEFT JOIN (SELECT match_id, count(*) AS n FROM over_row GROUP BY 1) o USING (match_id) "
-        "WHERE match_key % 97 NOT IN (1, 3, 7, 9, 12, 13)",
+        # cut off in the middle: no document
+        "WHERE match_key % 97 <> 13",
     ),
 )
 def doc_parse(spark, sf):
-    good = docs_source.readable(parsed(spark, sf, defects=True))
-    plain = ~(F.col("match_id").cast("bigint") % 97).isin(1, 3, 7, 9, 12)
     over_list = F.expr("flatten(transform(innings, i -> i.overs))")
-    return good.where(plain).select(
-        "match_id", "season", F.col("info.teams")[0].alias("team1"), F.col("info.teams")[1].alias("team2"),
+    return docs_source.readable(parsed(spark, sf, defects=True)).select(
+        "match_id", "season", F.get("info.teams", F.lit(0)).alias("team1"), F.get("info.teams", F.lit(1)).alias("team2"),
         F.size("innings").alias("innings"), F.size(over_list).alias("overs"),
     )
 

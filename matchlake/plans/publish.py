@@ -41,25 +41,34 @@ class Store:
         rows = newest.where("NOT last.removed").select("season", "last.version").collect()
         return {row["season"]: row["version"] for row in rows}
 
-    def write(self, table: str, df: DataFrame, version: str) -> None:
-        """Write a run's rows of a table. A table without a season is stored under one shared entry."""
+    def write(self, table: str, df: DataFrame, version: str, rebalance: bool = True) -> None:
+        """Write a run's rows of a table. A table without a season is stored under one shared entry.
+
+        Rows that come straight from a table stored by season are still together by season and need
+        no ``rebalance``; rows out of an aggregation or join are gathered first, large seasons split.
+        """
         if "season" not in df.columns:
             df = df.withColumn("season", F.lit(SHARED))
         # an empty result leaves no file to read the columns from
         self._schemas[table] = df.schema
+        gathered = df.hint("rebalance", "season") if rebalance else df
         (
-            df.hint("rebalance", "season")
-            .write.partitionBy("season")
+            gathered.write.partitionBy("season")
             .mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .option("compression", "zstd")
             .parquet(f"{self.root}/{table}/version={version}")
         )
 
-    def write_all(self, tables: dict[str, DataFrame], version: str) -> None:
-        """Write independent tables as concurrent jobs, so that small ones do not wait for large ones."""
+    def write_all(self, tables: dict[str, DataFrame], version: str, together: tuple[str, ...] = ()) -> None:
+        """Write independent tables as concurrent jobs, so that small ones do not wait for large ones.
+
+        ``together`` names the tables whose rows are by season already.
+        """
         with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-            for done in [pool.submit(self.write, name, df, version) for name, df in tables.items()]:
+            for done in [
+                pool.submit(self.write, name, df, version, name not in together) for name, df in tables.items()
+            ]:
                 done.result()
 
     def read(self, table: str, entries: dict[str, str] | None = None) -> DataFrame | None:
@@ -100,6 +109,16 @@ class Store:
         entry = self.spark.createDataFrame(rows, "version string, season string, removed boolean").coalesce(1)
         entry.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/_commits")
 
+    def record_run(self, run: dict) -> None:
+        """Append what a run did to the run log."""
+        columns = "version string, mode string, seasons array<string>, status string, counts map<string, bigint>"
+        entry = self.spark.createDataFrame([tuple(run[c.split()[0]] for c in columns.split(", ", 4))], columns)
+        entry.coalesce(1).withColumn("finished_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/_runs")
+
+    def runs(self) -> DataFrame:
+        """(version, mode, seasons, status, counts, finished_at) of all recorded runs."""
+        return self.spark.read.parquet(f"{self.root}/_runs")
+
     def remove_season(self, season: str, run_id: str) -> None:
         """Withdraw a season from every table; the data goes when its version expires."""
         self.commit(run_id, [season], removed=True)

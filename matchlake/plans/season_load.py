@@ -61,16 +61,18 @@ def load(
     seasons: list[str] | None = None,
     mode: str = INCREMENTAL,
     complete: bool = True,
+    resume: bool = False,
 ) -> Outcome:
     """Load staged documents (match_id, raw_data) and publish the result in one step.
 
     INCREMENTAL touches changed matches only; an unchanged snapshot publishes nothing. REPROCESS
-    loads all staged matches again and rebuilds the dimensions.
+    loads all staged matches again and rebuilds the dimensions. ``resume`` starts from the documents
+    an earlier attempt of the same version has already checked.
     """
     if mode not in (INCREMENTAL, REPROCESS):
         raise ValueError(f"unknown mode {mode}")
-    checked = check_documents(store, staged, version, seasons)
-    store.write("quarantine_records", quality.quarantine(checked), version)
+    checked = store.read_version("checked", version) if resume else check_documents(store, staged, version, seasons)
+    store.write("quarantine_records", quality.quarantine(checked), version, rebalance=False)
     valid = quality.valid(checked)
     changes = _detect(store, valid, mode, seasons, complete, version)
     counts = cdc.counts(changes).first().asDict()
@@ -85,7 +87,7 @@ def load(
     affected_seasons = sorted(row["season"] for row in affected.distinct().collect())
     outcome = Outcome(version, mode, affected_seasons, counts)
     if not affected_seasons:
-        return outcome
+        return _recorded(store, outcome)
 
     # silver: affected seasons are rewritten, all others stay where they are
     before = {s: current[s] for s in affected_seasons if s in current}
@@ -104,8 +106,7 @@ def load(
             rows = stored.join(cdc.keys_of(changes, [cdc.UPDATE, cdc.DELETE]), "match_id", "left_anti").unionByName(rows)
         tables[table] = rows
     shared = {SHARED: current[SHARED]} if SHARED in current else {}
-    tables.update(_entities(store, fresh, shared))
-    store.write_all(tables, version)
+    store.write_all({**tables, **_entities(store, fresh, shared)}, version, together=tuple(tables))
 
     # gold: facts of changed matches, totals of affected seasons, dimensions from all totals
     by_season = {k: v for k, v in current.items() if k != SHARED} | {s: version for s in affected_seasons}
@@ -134,8 +135,13 @@ def load(
     state = store.read("cdc_state", shared) if shared else None
     empty = store.spark.createDataFrame([], "business_key string, record_hash string")
     tables["cdc_state"] = cdc.state_after(empty if state is None else state, changes)
-    store.write_all(tables, version)
+    store.write_all(tables, version, together=("lakehouse",))
     store.commit(version, [*affected_seasons, SHARED])
+    return _recorded(store, outcome)
+
+
+def _recorded(store: Store, outcome: Outcome) -> Outcome:
+    store.record_run({**vars(outcome), "status": "SUCCESS"})
     return outcome
 
 

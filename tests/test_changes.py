@@ -90,8 +90,10 @@ def test_failed_run_changes_nothing(spark, store, monkeypatch):
         season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2")
     monkeypatch.undo()
     assert facts(store) == {"a": 35}
-    done = season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2")
+    done = season_load.load(store, None, "v2", resume=True)
     assert done.counts["updated"] == 1 and facts(store) == {"a": 100}
+    runs = {r["version"]: (r["status"], r["counts"]["updated"]) for r in store.runs().collect()}
+    assert runs == {"v1": ("SUCCESS", 0), "v2": ("SUCCESS", 1)}
 
 
 def test_season_delete_and_maintenance(spark, store):

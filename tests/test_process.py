@@ -1,11 +1,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchlake.constants import STAGE_SEQUENCE
 from matchlake.operators import process_anomalies as anomalies
 from matchlake.operators import process_metrics as metrics
 from matchlake.operators import process_reports as reports
+from matchlake.session import scratch
+from matchlake.sources import events as event_log
 from tests.samples import events, steady_run
 
 
@@ -141,3 +144,20 @@ def test_windows_are_free_of_python_and_reuse_one_shuffle(spark):
     plan = anomalies.out_of_sequence(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_event_log(spark):
+    path = scratch(spark, "log")
+    rows = [{"activity": "Bronze", "at": 0, "status": "success"}, {"activity": "gold", "at": 200_000, "until": 200_004, "status": "RUNNING"}]
+    raw = events(spark, rows).withColumn("logged_at", F.expr("event_timestamp + INTERVAL 2 SECONDS"))
+    for n in range(2):
+        part = event_log.normalize(raw.withColumn("event_id", F.col("event_id") + 2 * n))
+        event_log.append(part, path)
+    log = event_log.read_log(spark, path)
+    assert log.count() == 4
+    first = log.where("event_id = 1").first()
+    # a finished status in lower case does not get an end time, as it is compared before it is raised
+    assert (first["activity"], first["status"], first["duration_seconds"]) == ("bronze", "SUCCESS", None)
+    assert log.where("event_id = 2").first()["duration_seconds"] == 4.0
+    assert [r["event_id"] for r in event_log.recent(log, 1).collect()] == [4]
+    assert event_log.of_case(log, "case", None).count() == 4
