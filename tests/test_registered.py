@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from tools.compare import TABLES, rows
 
 SLOW = {"backfill_range", "incremental_load", "silver_reload_idempotent", "stage_counts", "apply_changes_silver"}
-NAMES = [n for n in entry.queries() if n not in SLOW]
+NAMES = [n for n in registry.QUERIES if n not in SLOW]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_query(spark, db, sf, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def test_entry(spark):
