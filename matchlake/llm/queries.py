@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, quality_mcd, secret_scan, url_model
+from . import mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, url_model
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vp.report(table(spark, sf_dir, "documents"))
+
+
 @query("op4_pii")
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
@@ -75,6 +80,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+@query("op7_benchmark_leaks")
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgram_leaks.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_url_model")
 def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.report(table(spark, sf_dir, "pages"))
