@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
+from . import html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_url_model")
 def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.report(table(spark, sf_dir, "pages"))
+
+
+@query("op10_html_segments")
+def op10_html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_segments.report(table(spark, sf_dir, "pages"))
