@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
+from . import attention_lm, html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,11 @@ def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.report(table(spark, sf_dir, "pages"))
 
 
+@query("op9_attention_lm")
+def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_html_segments")
 def op10_html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_segments.report(table(spark, sf_dir, "pages"))
