@@ -36,8 +36,9 @@ SHINGLE = 4
 SEED = 42
 #: Fingerprints link at this many differing bits or fewer.
 RADIUS = 4
-#: Points from which the upper levels are fitted, points that a shard should hold, levels at most.
-SAMPLE, SHARD, LEVELS = 4096, 8192, 9
+#: Points from which the upper levels are fitted, points that a shard should hold, levels at most. Each
+#: level sends most queries both ways, so levels cost shuffled rows; a shard's own tree costs none.
+SAMPLE, SHARD, LEVELS = 4096, 32_768, 9
 #: Points that are compared directly at the bottom of a tree, and comparisons held in memory at once.
 LEAF, CELLS = 96, 1 << 20
 BLOCK = 1 << 16
@@ -195,7 +196,7 @@ def links(points_df: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = written(points_df.select("fp").mapInArrow(dealt, "shard int, fp bigint, indexed boolean"), "vp")
     # at most 2^LEVELS rows: the sizes tell which shards are cut into slices
     sizes = rows.groupBy("shard").agg(
-        F.ceil(F.sum(F.col("indexed").cast("long")) / (4 * SHARD)).alias("parts"), F.ceil(F.count("*") / (32 * SHARD)).alias("turns")
+        F.ceil(F.sum(F.col("indexed").cast("long")) / (2 * SHARD)).alias("parts"), F.ceil(F.count("*") / (8 * SHARD)).alias("turns")
     ).collect()
     parts, turns = {r.shard: max(1, r.parts) for r in sizes}, {r.shard: max(1, r.turns) for r in sizes}
     number = lambda d: F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in d.items() for v in kv]), F.col("shard")), F.lit(1)) if d else F.lit(1)
