@@ -11,7 +11,6 @@ import logging
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import analytics, cdc, eda, gold, lakehouse, quality, silver
 from matchlake.operators import process_anomalies, process_metrics, process_reports
-from matchlake.session import build_session
+from matchlake.session import build_session, scratch
 from matchlake.sources import adapters
 from matchlake.sources import documents as docs_source
 from matchlake.sources import lakehouse as lake_table
@@ -40,8 +39,8 @@ def stage(spark, root):
 
     tables = {
         "match": put("match", adapters.matches(spark, SF_DIR)),
-        "delivery": put("delivery", adapters.deliveries(spark, SF_DIR).drop("season")),
-        "wicket": put("wicket", adapters.wickets(spark, SF_DIR).drop("season")),
+        "delivery": put("delivery", adapters.deliveries(spark, SF_DIR)),
+        "wicket": put("wicket", adapters.wickets(spark, SF_DIR)),
         "player": put("player", adapters.players(spark, SF_DIR)),
         "team": put("team", adapters.teams(spark, SF_DIR)),
         "team_squad": put("team_squad", adapters.squads(spark, SF_DIR)),
@@ -72,7 +71,7 @@ def headline(t):
         all_texts = texts(t["match"].sparkSession)
         old = cdc.fingerprints(all_texts.where("key % 10 <> 0"), "key", "text")
         new = all_texts.where("key % 10 <> 2").withColumn("text", F.expr("IF(key % 10 = 1, text || ' v2', text)"))
-        return cdc.classify(cdc.fingerprints(new, "key", "text"), old, old.select("business_key"))
+        return cdc.classify(cdc.fingerprints(new, "key", "text"), old, old.select("business_key"), complete=True)
 
     return {
         "q1_row_count": lambda: lakehouse.row_count(t["lake"]),
@@ -111,7 +110,7 @@ def main():
         "spark.driver.memory": "16g",
         "spark.log.level": "ERROR",
     })
-    root = tempfile.mkdtemp(prefix="matchlake-bench-")
+    root = scratch(spark, "bench")
     start = time.perf_counter()
     tables = stage(spark, root)
     setup = time.perf_counter() - start

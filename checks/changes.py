@@ -35,7 +35,7 @@ def snapshots(spark, sf):
 
 def changes(spark, sf):
     old, new = snapshots(spark, sf)
-    return cdc.classify(new, old, old.select("business_key"))
+    return cdc.classify(new, old, old.select("business_key"), complete=True)
 
 
 @check("cdc_hash", "SELECT CAST(doc_id AS VARCHAR) AS business_key, sha256(text) AS record_hash FROM documents")
@@ -97,7 +97,7 @@ def apply_changes_silver(spark, sf):
     hashes = keys.selectExpr("business_key", "sha2(business_key || IF(digit = 1, 'v2', ''), 256) AS record_hash", "digit")
     plain = keys.selectExpr("business_key", "sha2(business_key, 256) AS record_hash", "digit")
     state = plain.where("digit <> 0")
-    found = cdc.classify(hashes.where("digit <> 2"), state, state.select("business_key"))
+    found = cdc.classify(hashes.where("digit <> 2"), state, state.select("business_key"), complete=True)
     return cdc.apply_changes(old, new, found).select(
         "match_id", "season", "innings_number", "over_number", "actual_delivery", "batter", "bowler", "batter_runs",
         "extras", "total_runs",
@@ -157,7 +157,7 @@ def backfill_range(spark, sf):
     "incremental_load",
     sql(
         "match delivery wicket",
-        "SELECT m.match_id, m.season, m.winner, CAST(coalesce(r.runs, 0) AS INT) AS total_runs, CAST(coalesce(w.n, 0) AS INT) AS total_wickets FROM "
+        "SELECT m.match_id, m.season, m.winner, CAST(coalesce(r.runs, 0) AS BIGINT) AS total_runs, CAST(coalesce(w.n, 0) AS BIGINT) AS total_wickets FROM "
         "(SELECT * REPLACE (CASE WHEN match_key % 10 = 1 THEN team1 ELSE winner END AS winner) FROM match "
         "WHERE match_key % 10 <> 2) m "
         "LEFT JOIN (SELECT match_id, sum(total_runs) AS runs FROM delivery GROUP BY 1) r USING (match_id) "
@@ -177,7 +177,7 @@ def incremental_load(spark, sf):
     # an outcome without further fields must not keep the comma
     won = F.replace(won, F.lit('",}'), F.lit('"}'))
     new = docs.where(digit != 2).withColumn("raw_data", F.when(digit == 1, won).otherwise(F.col("raw_data")))
-    season_load.load(store, new, "run-2")
+    season_load.load(store, new, "run-2", complete=True)
     return store.read("fact_match_summary").select("match_id", "season", "winner", "total_runs", "total_wickets")
 
 

@@ -58,7 +58,7 @@ def gold_dim_player(spark, sf):
 
 # Changed matches: key % 10 = 1 gets one more run per ball (as an extra), key % 10 = 2 disappears.
 CHANGED = """
-  SELECT f.* REPLACE (CAST(f.total_runs + coalesce(d.n, 0) AS INT) AS total_runs)
+  SELECT f.* REPLACE (CAST(f.total_runs + coalesce(d.n, 0) AS BIGINT) AS total_runs)
   FROM fact f LEFT JOIN (SELECT match_id, count(*) AS n FROM delivery WHERE match_key % 10 = 1 GROUP BY 1) d USING (match_id)
   WHERE match_key % 10 <> 2
 """
@@ -86,11 +86,11 @@ OLD_NEW_TEAM = """
   old_m AS (SELECT * FROM match WHERE season < '1998'), new_m AS (SELECT * FROM match WHERE season >= '1998' AND venue <> '5-LOW'),
   side AS (SELECT 'old' AS era, match_id, winner, unnest([team1, team2]) AS team_name FROM old_m
            UNION ALL SELECT 'new', match_id, winner, unnest([team1, team2]) FROM new_m),
-  agg AS (SELECT era, team_name, CAST(count(*) AS INT) AS matches_played,
-                 CAST(count(*) FILTER (winner = team_name) AS INT) AS wins FROM side GROUP BY 1, 2),
+  agg AS (SELECT era, team_name, CAST(count(*) AS BIGINT) AS matches_played,
+                 CAST(count(*) FILTER (winner = team_name) AS BIGINT) AS wins FROM side GROUP BY 1, 2),
   run AS (SELECT CASE WHEN season < '1998' THEN 'old' ELSE 'new' END AS era, batting_team AS team_name,
-                 CAST(sum(total_runs) AS INT) AS total_runs, CAST(count(*) FILTER (batter_runs = 4) AS INT) AS total_boundaries,
-                 CAST(count(*) FILTER (batter_runs = 6) AS INT) AS total_sixes
+                 CAST(sum(total_runs) AS BIGINT) AS total_runs, CAST(count(*) FILTER (batter_runs = 4) AS BIGINT) AS total_boundaries,
+                 CAST(count(*) FILTER (batter_runs = 6) AS BIGINT) AS total_sixes
           FROM delivery WHERE match_id IN (SELECT match_id FROM old_m UNION ALL SELECT match_id FROM new_m) GROUP BY 1, 2),
   dims AS (SELECT era, team_name, matches_played, wins, coalesce(total_runs, 0) AS total_runs,
                   coalesce(total_boundaries, 0) AS total_boundaries, coalesce(total_sixes, 0) AS total_sixes
@@ -128,8 +128,8 @@ PLAYER_SPLIT = """
   d_old AS (SELECT * FROM delivery WHERE season < '1998'), d_new AS (SELECT * FROM delivery WHERE season >= '2001'),
   per AS (SELECT 'old' AS era, match_id, batter AS player_name, sum(batter_runs) AS runs FROM d_old GROUP BY 1, 2, 3, innings_number
           UNION ALL SELECT 'new', match_id, batter, sum(batter_runs) FROM d_new GROUP BY 1, 2, 3, innings_number),
-  dims AS (SELECT era, player_name, CAST(sum(runs) AS INT) AS total_runs, CAST(max(runs) AS INT) AS highest_score,
-                  CAST(count(DISTINCT match_id) AS INT) AS batting_matches FROM per GROUP BY 1, 2)
+  dims AS (SELECT era, player_name, CAST(sum(runs) AS BIGINT) AS total_runs, CAST(max(runs) AS BIGINT) AS highest_score,
+                  CAST(count(DISTINCT match_id) AS BIGINT) AS batting_matches FROM per GROUP BY 1, 2)
 """
 
 

@@ -119,12 +119,20 @@ def bpm_recent_events(spark, sf):
 
 @check(
     "bpm_case_events",
-    sql("ev", f"SELECT {RECENT} FROM ev WHERE case_id = 'u3-w1' ORDER BY event_timestamp, event_id LIMIT 200"),
+    sql("ev", f"SELECT {RECENT} FROM ev WHERE case_id = 'u3-w1'"),
 )
 def bpm_case_events(spark, sf):
     return event_log.of_case(events(spark, sf), "u3-w1").select(*RECENT.split(", "))
 
 
+@check(
+    "bpm_case_events_page",
+    sql("ev", f"SELECT {RECENT} FROM ev WHERE case_id = 'u3-w1' ORDER BY event_timestamp, event_id LIMIT 2"),
+)
+def bpm_case_events_page(spark, sf):
+    return event_log.of_case(events(spark, sf), "u3-w1", 2).select(*RECENT.split(", "))
+
+
 @check("bpm_stage_durations", sql("ev", "SELECT activity, seconds AS duration_seconds FROM stage", STAGE))
 def bpm_stage_durations(spark, sf):
     return metrics.stage_durations(events(spark, sf))

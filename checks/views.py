@@ -54,18 +54,18 @@ VIEWS = {
     "player": """
       SELECT DISTINCT player_name FROM squad""",
     "fact": """
-      SELECT m.*, CAST(coalesce(r.runs, 0) AS INT) AS total_runs, CAST(coalesce(w.n, 0) AS INT) AS total_wickets,
-             CAST(coalesce(r.fours, 0) AS INT) AS total_boundaries, CAST(coalesce(r.sixes, 0) AS INT) AS total_sixes
+      SELECT m.*, CAST(coalesce(r.runs, 0) AS BIGINT) AS total_runs, CAST(coalesce(w.n, 0) AS BIGINT) AS total_wickets,
+             CAST(coalesce(r.fours, 0) AS BIGINT) AS total_boundaries, CAST(coalesce(r.sixes, 0) AS BIGINT) AS total_sixes
       FROM match m
       LEFT JOIN (SELECT match_id, sum(total_runs) AS runs, count(*) FILTER (batter_runs = 4) AS fours,
                         count(*) FILTER (batter_runs = 6) AS sixes FROM delivery GROUP BY 1) r USING (match_id)
       LEFT JOIN (SELECT match_id, count(*) AS n FROM wicket GROUP BY 1) w USING (match_id)""",
     "dim_team": """
-      SELECT t.team_name, CAST(count(DISTINCT m.match_id) AS INT) AS matches_played,
-             CAST(count(DISTINCT CASE WHEN m.winner = t.team_name THEN m.match_id END) AS INT) AS wins,
-             CAST(any_value(coalesce(r.runs, 0)) AS INT) AS total_runs,
-             CAST(any_value(coalesce(r.fours, 0)) AS INT) AS total_boundaries,
-             CAST(any_value(coalesce(r.sixes, 0)) AS INT) AS total_sixes
+      SELECT t.team_name, CAST(count(DISTINCT m.match_id) AS BIGINT) AS matches_played,
+             CAST(count(DISTINCT CASE WHEN m.winner = t.team_name THEN m.match_id END) AS BIGINT) AS wins,
+             CAST(any_value(coalesce(r.runs, 0)) AS BIGINT) AS total_runs,
+             CAST(any_value(coalesce(r.fours, 0)) AS BIGINT) AS total_boundaries,
+             CAST(any_value(coalesce(r.sixes, 0)) AS BIGINT) AS total_sixes
       FROM team t LEFT JOIN match m ON m.team1 = t.team_name OR m.team2 = t.team_name
       LEFT JOIN (SELECT batting_team, sum(total_runs) AS runs, count(*) FILTER (batter_runs = 4) AS fours,
                         count(*) FILTER (batter_runs = 6) AS sixes FROM delivery GROUP BY 1) r
@@ -73,16 +73,16 @@ VIEWS = {
       GROUP BY t.team_name""",
     "dim_player": """
       SELECT p.player_name,
-             CAST(coalesce(bat.matches, 0) AS INT) AS batting_matches, CAST(coalesce(bat.innings, 0) AS INT) AS batting_innings,
-             CAST(coalesce(bat.runs, 0) AS INT) AS total_runs, CAST(coalesce(bat.balls, 0) AS INT) AS total_balls,
-             CAST(coalesce(bat.fours, 0) AS INT) AS total_fours, CAST(coalesce(bat.sixes, 0) AS INT) AS total_sixes,
-             CAST(coalesce(bat.best, 0) AS INT) AS highest_score, CAST(coalesce(bat.fifties, 0) AS INT) AS fifties,
-             CAST(coalesce(bat.hundreds, 0) AS INT) AS hundreds,
-             CAST(coalesce(bowl.matches, 0) AS INT) AS bowling_matches, CAST(coalesce(bowl.innings, 0) AS INT) AS bowling_innings,
-             CAST(coalesce(bowl.balls, 0) AS INT) AS balls_bowled,
+             CAST(coalesce(bat.matches, 0) AS BIGINT) AS batting_matches, CAST(coalesce(bat.innings, 0) AS BIGINT) AS batting_innings,
+             CAST(coalesce(bat.runs, 0) AS BIGINT) AS total_runs, CAST(coalesce(bat.balls, 0) AS BIGINT) AS total_balls,
+             CAST(coalesce(bat.fours, 0) AS BIGINT) AS total_fours, CAST(coalesce(bat.sixes, 0) AS BIGINT) AS total_sixes,
+             CAST(coalesce(bat.best, 0) AS BIGINT) AS highest_score, CAST(coalesce(bat.fifties, 0) AS BIGINT) AS fifties,
+             CAST(coalesce(bat.hundreds, 0) AS BIGINT) AS hundreds,
+             CAST(coalesce(bowl.matches, 0) AS BIGINT) AS bowling_matches, CAST(coalesce(bowl.innings, 0) AS BIGINT) AS bowling_innings,
+             CAST(coalesce(bowl.balls, 0) AS BIGINT) AS balls_bowled,
              coalesce(((20 * bowl.balls + 6) // 12) / 10.0, 0.0) AS overs_bowled,
-             CAST(coalesce(bowl.conceded, 0) AS INT) AS runs_conceded, CAST(coalesce(bowl.taken, 0) AS INT) AS wickets_taken,
-             CAST(coalesce(bowl.best, 0) AS INT) AS best_wickets
+             CAST(coalesce(bowl.conceded, 0) AS BIGINT) AS runs_conceded, CAST(coalesce(bowl.taken, 0) AS BIGINT) AS wickets_taken,
+             CAST(coalesce(bowl.best, 0) AS BIGINT) AS best_wickets
       FROM player p
       LEFT JOIN (SELECT player_name, count(DISTINCT match_id) AS matches, count(DISTINCT (match_id, innings_number)) AS innings,
                         sum(runs) AS runs, sum(balls) AS balls, sum(fours) AS fours, sum(sixes) AS sixes, max(runs) AS best,
@@ -103,7 +103,7 @@ VIEWS = {
     "lake": """
       SELECT m.match_id, m.season, strftime(m.match_date, '%Y-%m-%d') AS match_date, m.match_type, m.venue, m.city,
              m.team1, m.team2, m.toss_winner, m.toss_decision, m.winner, m.win_by_runs, m.win_by_wickets,
-             m.player_of_match, CAST(coalesce(o.n, 0) AS INT) AS total_overs, f.total_runs, f.total_wickets
+             m.player_of_match, CAST(coalesce(o.n, 0) AS INT) AS total_overs, CAST(f.total_runs AS INT) AS total_runs, CAST(f.total_wickets AS INT) AS total_wickets
       FROM match m JOIN fact f USING (match_id)
       LEFT JOIN (SELECT match_id, count(*) AS n FROM over_row GROUP BY 1) o USING (match_id)""",
     "ev": """

@@ -137,58 +137,47 @@ def _strike_rate(runs: str, balls: str) -> Column:
     return F.coalesce(F.round(top / bottom, 1), F.lit(0)).cast("double")
 
 
-def _by_season_and_match(matches: DataFrame, per_match: DataFrame) -> DataFrame:
-    return matches.select("match_id", "season").join(per_match, "match_id")
+def player_season_report(deliveries: DataFrame, wickets: DataFrame, player: str, filters: Filters = Filters()) -> DataFrame:
+    """Batting and bowling of one player by season, from rows that carry their season.
 
-
-def player_season_report(
-    matches: DataFrame, deliveries: DataFrame, wickets: DataFrame, player: str, filters: Filters = Filters()
-) -> DataFrame:
-    """Batting and bowling of one player by season.
-
-    Deliveries are filtered and reduced to one row per match before the join; wickets are counted
-    on their own, so a ball with two wickets does not count its runs twice.
+    The player's deliveries and wickets become one list of narrow rows, reduced to a row per match
+    and then to one per season, without a join; wickets are counted on their own, so a ball with two
+    wickets does not count its runs twice.
     """
-    deliveries = select_deliveries(deliveries, filters)
-    batted = deliveries.where(F.col("batter") == player).groupBy("match_id").agg(
-        F.sum("batter_runs").alias("runs"), F.count(F.lit(1)).alias("balls")
-    )
-    bowled = deliveries.where(F.col("bowler") == player).groupBy("match_id").agg(F.sum("total_runs").alias("conceded"))
-    taken = wickets.where(F.col("bowler") == player).groupBy("match_id").agg(F.count(F.lit(1)).alias("taken"))
-    bat = _by_season_and_match(matches, batted).groupBy("season").agg(
-        F.count(F.lit(1)).alias("bat_matches"), F.sum("runs").alias("runs"), F.sum("balls").alias("balls")
+    bats, bowls = F.col("batter") == player, F.col("bowler") == player
+    of = lambda condition, value: F.when(condition, value).otherwise(0).cast("bigint")
+    balls = select_deliveries(deliveries, filters).where(bats | bowls).select(
+        "season", "match_id", of(bats, F.col("batter_runs")).alias("runs"), of(bats, F.lit(1)).alias("balls"),
+        of(bowls, F.lit(1)).alias("bowled"), of(bowls, F.col("total_runs")).alias("conceded"), F.lit(0).cast("bigint").alias("taken"),
     )
-    bowl = _by_season_and_match(matches, bowled.join(taken, "match_id", "left")).groupBy("season").agg(
-        F.count(F.lit(1)).alias("bowl_matches"), F.sum("taken").alias("wickets"), F.sum("conceded").alias("conceded")
+    zero = [F.lit(0).cast("bigint").alias(c) for c in ("runs", "balls", "bowled", "conceded")]
+    fallen = wickets.where(bowls).select("season", "match_id", *zero, F.lit(1).cast("bigint").alias("taken"))
+    sums = ("runs", "balls", "bowled", "conceded", "taken")
+    per_match = balls.unionByName(fallen).groupBy("season", "match_id").agg(*[F.sum(c).alias(c) for c in sums])
+    # a filter on deliveries leaves out the wickets of matches in which none of them is left
+    here = F.col("bowled") > 0
+    report = per_match.where("balls > 0 OR bowled > 0").groupBy("season").agg(
+        F.count(F.when(F.col("balls") > 0, 1)).alias("bat_matches"), F.sum("runs").alias("runs"), F.sum("balls").alias("balls"),
+        F.count(F.when(here, 1)).alias("bowl_matches"), F.sum(of(here, F.col("taken"))).alias("wickets"), F.sum("conceded").alias("conceded"),
     )
-    both = bat.join(bowl, "season", "full_outer")
-    names = ["bat_matches", "runs", "balls", "bowl_matches", "wickets", "conceded"]
-    report = both.select("season", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names])
     return report.withColumn("strike_rate", _strike_rate("runs", "balls")).orderBy(F.desc("season"))
 
 
 def team_season_report(
     matches: DataFrame, deliveries: DataFrame, team: str, filters: Filters = Filters()
 ) -> DataFrame:
-    """Matches, wins and the team's own scoring by season; matches without its deliveries stay."""
-    own = matches.where((F.col("team1") == team) | (F.col("team2") == team)).select("match_id", "season", "winner")
-    batted = select_deliveries(deliveries, filters).where(F.col("batting_team") == team)
-    scoring = batted.groupBy("match_id").agg(
+    """Matches, wins and the team's own scoring by season. Both sides are reduced to a row per season
+    before they meet; seasons without its deliveries stay."""
+    played = matches.where((F.col("team1") == team) | (F.col("team2") == team)).groupBy("season").agg(
+        F.count(F.lit(1)).alias("matches"), F.count(F.when(F.col("winner") == team, 1)).alias("wins")
+    )
+    scoring = select_deliveries(deliveries, filters).where(F.col("batting_team") == team).groupBy("season").agg(
         F.sum("total_runs").alias("runs"),
         F.count(F.when(F.col("batter_runs") == 4, 1)).alias("fours"),
         F.count(F.when(F.col("batter_runs") == 6, 1)).alias("sixes"),
     )
-    won = F.count_distinct(F.when(F.col("winner") == team, F.col("match_id")))
-    return (
-        own.join(scoring, "match_id", "left")
-        .groupBy("season")
-        .agg(
-            F.count_distinct("match_id").alias("matches"),
-            won.alias("wins"),
-            *[_total(c, c) for c in ("runs", "fours", "sixes")],
-        )
-        .orderBy(F.desc("season"))
-    )
+    figures = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("runs", "fours", "sixes")]
+    return played.join(scoring, "season", "left").select("season", "matches", "wins", *figures).orderBy(F.desc("season"))
 
 
 def overall_season_report(fact: DataFrame) -> DataFrame:

@@ -16,32 +16,41 @@ def fingerprints(df: DataFrame, key: str, content: str, *also: str) -> DataFrame
 
 
 def classify(
-    staged: DataFrame, state: DataFrame, loaded: DataFrame, complete: bool = True
+    staged: DataFrame, state: DataFrame, loaded: DataFrame, complete: bool = False, present: DataFrame | None = None
 ) -> DataFrame:
     """(business_key, operation, old_hash, new_hash) of every staged key and every vanished one.
 
     ``staged`` and ``state`` carry business_key and record_hash, ``loaded`` the business_key of
-    records now in the target. Only a ``complete`` snapshot can tell that a record is gone; with a
-    filtered one nothing is deleted.
+    records now in the target. A remembered key that is not loaded (any more) is an INSERT, whatever
+    its hash. Only a ``complete`` snapshot can tell that a record is gone; with a part of one nothing
+    is deleted. ``loaded`` may say in ``in_scope`` which records the snapshot speaks for, and
+    ``present`` lists keys that were delivered but cannot be loaded: those are not gone.
 
-    The three inputs are tagged, unioned and aggregated once, instead of joined twice: one shuffle
-    of narrow rows, and repeated copies of a key are combined before it.
+    The inputs are tagged, unioned and aggregated once, instead of joined: one shuffle of narrow
+    rows, and repeated copies of a key are combined before it.
     """
-    nothing = F.lit(None).cast("string")
+    nothing, no, yes = F.lit(None).cast("string"), F.lit(False), F.lit(True)
+    scope = F.col("in_scope") if "in_scope" in loaded.columns else yes
     tagged = (
-        staged.select("business_key", F.col("record_hash").alias("new_hash"), nothing.alias("old_hash"), F.lit(False).alias("is_loaded"))
-        .unionAll(state.select("business_key", nothing, F.col("record_hash"), F.lit(False)))
-        .unionAll(loaded.select("business_key", nothing, nothing, F.lit(True)))
+        staged.select(
+            "business_key", F.col("record_hash").alias("new_hash"), nothing.alias("old_hash"),
+            no.alias("is_loaded"), no.alias("in_scope"), yes.alias("is_present"),
+        )
+        .unionAll(state.select("business_key", nothing, F.col("record_hash"), no, no, no))
+        .unionAll(loaded.select("business_key", nothing, nothing, yes, scope, no))
     )
+    if present is not None:
+        tagged = tagged.unionAll(present.select("business_key", nothing, nothing, no, no, yes))
     merged = tagged.groupBy("business_key").agg(
-        F.max("new_hash").alias("new_hash"), F.max("old_hash").alias("old_hash"), F.max("is_loaded").alias("is_loaded")
+        F.max("new_hash").alias("new_hash"), F.max("old_hash").alias("old_hash"),
+        *[F.max(flag).alias(flag) for flag in ("is_loaded", "in_scope", "is_present")],
     )
     new, old = F.col("new_hash"), F.col("old_hash")
     operation = (
-        F.when(new.isNotNull() & old.isNull(), INSERT)
+        F.when(new.isNotNull() & (old.isNull() | ~F.col("is_loaded")), INSERT)
         .when(new.isNotNull() & (new != old), UPDATE)
         .when(new.isNotNull(), SKIP)
-        .when(F.col("is_loaded") & F.lit(complete), DELETE)
+        .when(F.col("in_scope") & ~F.col("is_present") & F.lit(complete), DELETE)
     )
     return merged.select("business_key", operation.alias("operation"), "old_hash", "new_hash").where(
         F.col("operation").isNotNull()

@@ -14,7 +14,7 @@ def _count_if(condition: Column) -> Column:
 
 
 def _zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).cast("int").alias(name)
+    return F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
 
 
 def match_summary(matches: DataFrame, deliveries: DataFrame, wickets: DataFrame) -> DataFrame:
@@ -48,8 +48,8 @@ TEAM_MEASURES = ["matches_played", "wins", "total_runs", "total_boundaries", "to
 def team_totals(matches: DataFrame, deliveries: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Matches played, wins and scoring per team (and per ``by``, e.g. season).
 
-    "team1 = t OR team2 = t" becomes two rows per match and an equi-join; counting is done before
-    the join, so a popular team costs one row there.
+    "team1 = t OR team2 = t" becomes two rows per match and an equi-join; a match has one row and its
+    sides differ, so plain counts do. They are combined before the shuffle and done before the join.
     """
     by = by or []
     keys = [*by, "team_name"]
@@ -57,8 +57,7 @@ def team_totals(matches: DataFrame, deliveries: DataFrame, by: list[str] | None
         *by, "match_id", "winner", F.explode(F.array_distinct(F.array("team1", "team2"))).alias("team_name")
     )
     played = sides.groupBy(*keys).agg(
-        F.count_distinct("match_id").alias("matches_played"),
-        F.count_distinct(F.when(F.col("winner") == F.col("team_name"), F.col("match_id"))).alias("wins"),
+        F.count(F.lit(1)).alias("matches_played"), _count_if(F.col("winner") == F.col("team_name")).alias("wins"),
     )
     scored = deliveries.groupBy(*by, F.col("batting_team").alias("team_name")).agg(
         F.sum("total_runs").alias("total_runs"),

@@ -5,6 +5,10 @@ them until the run appends one small file to the commit log that names the seaso
 Readers look up the newest commit of each season, so they see all tables of a run or none. A run
 that fails leaves unreferenced folders and changes nothing; running it again overwrites them.
 Seasons a run does not touch are not copied: they keep pointing at the version they were written in.
+
+Commits are numbered. A run names the commit it started from and is refused when another run has
+published since, so neither undoes the other. Logs (quarantine, changes, process events) are kept
+apart from versions: each run adds its own folder, and they outlive deleted and expired versions.
 """
 
 from __future__ import annotations
@@ -18,7 +22,17 @@ from pyspark.sql import types as T
 
 SHARED = "all"
 PARALLEL_WRITES = 4
-COMMITS = "version string, season string, removed boolean, committed_at timestamp"
+COMMITS = "version string, season string, removed boolean, committed_at timestamp, number bigint"
+LOGS = "_logs"
+
+
+class Conflict(RuntimeError):
+    """Another run has published since this one began."""
+
+
+def _missing(error: AnalysisException) -> bool:
+    """Whether the folder is not there (yet); an unreadable one is an error like any other."""
+    return (error.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class Store:
@@ -30,13 +44,19 @@ class Store:
     def commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
             return self.spark.createDataFrame([], COMMITS)
 
+    def head(self) -> int:
+        """The number of the newest commit, 0 before the first."""
+        return self.commits().agg(F.coalesce(F.max("number"), F.lit(0)).alias("head")).first()["head"]
+
     def current(self) -> dict[str, str]:
         """Season -> version. One entry per season, so small enough for the driver."""
         newest = self.commits().groupBy("season").agg(
-            F.max(F.struct("committed_at", "version", "removed")).alias("last")
+            F.max(F.struct("number", "version", "removed")).alias("last")
         )
         rows = newest.where("NOT last.removed").select("season", "last.version").collect()
         return {row["season"]: row["version"] for row in rows}
@@ -84,6 +104,14 @@ class Store:
         rows = self._open(table)
         return None if rows is None else rows.where(chosen).drop("version")
 
+    def require(self, table: str, entries: dict[str, str]) -> DataFrame | None:
+        """As ``read``, but entries that point at a table which is not there are an error: taking it
+        for empty would publish a version without its rows."""
+        rows = self.read(table, entries) if entries else None
+        if entries and rows is None:
+            raise RuntimeError(f"{self.root}/{table} is missing, but {sorted(set(entries.values()))} refer to it")
+        return rows
+
     def read_version(self, table: str, version: str) -> DataFrame:
         """A table as one run wrote it, published or not."""
         return self._open(table).where(F.col("version") == version).drop("version")
@@ -94,20 +122,46 @@ class Store:
         if table not in self._schemas:
             try:
                 self._schemas[table] = self.spark.read.parquet(path).schema
-            except AnalysisException:
+            except AnalysisException as error:
+                if not _missing(error):
+                    raise
                 return None
         columns = [f for f in self._schemas[table].fields if f.name not in ("season", "version")]
         keys = [T.StructField(name, T.StringType()) for name in ("season", "version")]
         try:
             return self.spark.read.schema(T.StructType(columns + keys)).parquet(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
             return None
 
-    def commit(self, version: str, seasons: list[str], removed: bool = False) -> None:
-        """Make a run's seasons the published ones: a single new file, so all or nothing."""
-        rows = [(version, season, removed) for season in seasons]
+    def commit(self, version: str, seasons: list[str], removed: list[str] = (), parent: int | None = None) -> None:
+        """Make a run's seasons the published ones and withdraw the ``removed`` ones: a single new
+        file under the next number, so all or nothing. ``parent`` is the head the run started from."""
+        head = self.head()
+        if parent is not None and parent != head:
+            raise Conflict(f"commit {head} was published after {parent}, from which {version} started")
+        rows = [(version, season, False) for season in seasons] + [(version, season, True) for season in removed]
         entry = self.spark.createDataFrame(rows, "version string, season string, removed boolean").coalesce(1)
-        entry.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/_commits")
+        entry = entry.withColumn("committed_at", F.current_timestamp())
+        try:
+            entry.write.mode("errorifexists").parquet(f"{self.root}/_commits/number={head + 1}")
+        except AnalysisException as error:
+            if "ALREADY_EXISTS" not in (error.getCondition() or ""):
+                raise
+            raise Conflict(f"another run has published commit {head + 1} meanwhile") from error
+
+    def append_log(self, name: str, rows: DataFrame, run_id: str) -> None:
+        """Add a run's rows to a log; trying the run again replaces its own rows only."""
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{LOGS}/{name}/run={run_id}")
+
+    def read_log(self, name: str, run_id: str | None = None) -> DataFrame:
+        """A log over all runs, with the column ``run``."""
+        path = f"{self.root}/{LOGS}/{name}"
+        schema = self.spark.read.parquet(path).schema
+        typed = T.StructType([f for f in schema.fields if f.name != "run"] + [T.StructField("run", T.StringType())])
+        rows = self.spark.read.schema(typed).parquet(path)
+        return rows if run_id is None else rows.where(F.col("run") == run_id)
 
     def record_run(self, run: dict) -> None:
         """Append what a run did to the run log."""
@@ -118,7 +172,3 @@ class Store:
     def runs(self) -> DataFrame:
         """(version, mode, seasons, status, counts, finished_at) of all recorded runs."""
         return self.spark.read.parquet(f"{self.root}/_runs")
-
-    def remove_season(self, season: str, run_id: str) -> None:
-        """Withdraw a season from every table; the data goes when its version expires."""
-        self.commit(run_id, [season], removed=True)

@@ -27,10 +27,14 @@ ALL_PRESENT = "named_struct({presence}, 'overs_type', 'DOUBLE')".format(
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(match_id, raw_data) of a folder of JSON files, one document per file."""
+    """(match_id, raw_data, arrived) of a folder of JSON files, one document per file; ``arrived`` is
+    the file's time."""
     files = spark.read.text(path, wholetext=True)
     name = F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1)
-    return files.select(F.url_decode(name).alias("match_id"), F.col("value").alias("raw_data"))
+    return files.select(
+        F.url_decode(name).alias("match_id"), F.col("value").alias("raw_data"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+    )
 
 
 def parse(df: DataFrame) -> DataFrame:
@@ -83,18 +87,20 @@ def route(
     return chosen
 
 
-def one_per_match(df: DataFrame) -> DataFrame:
-    """Drop further copies of a match; among differing copies the greatest text is kept.
+def one_per_match(df: DataFrame, arrived: str = "arrived") -> DataFrame:
+    """Drop further copies of a match; among differing copies the one that arrived last is kept.
 
-    Which ids repeat is found from the id column alone. Without any, nothing is moved; otherwise
-    only the repeated documents are, and their copies are combined before the shuffle.
+    ``arrived`` orders the copies (file time, stream offset); copies that arrived together, or a table
+    without that column, are settled by their text. Which ids repeat is found from the id column
+    alone. Without any, nothing is moved; otherwise only the repeated documents are, and their copies
+    are combined before the shuffle.
     """
-    repeated = df.groupBy("match_id").count().where("count > 1").select("match_id")
+    repeated = written(df.groupBy("match_id").count().where("count > 1").select("match_id"), "repeated-ids")
     if repeated.isEmpty():
         return df
-    repeated = written(repeated, "repeated-ids")
-    others = [c for c in df.columns if c not in ("match_id", "raw_data")]
-    kept = F.max(F.struct("raw_data", *others)).alias("kept")
+    order = [c for c in (arrived, "raw_data") if c in df.columns]
+    others = [c for c in df.columns if c not in ("match_id", *order)]
+    kept = F.max(F.struct(*order, *others)).alias("kept")
     copies = df.join(repeated, "match_id", "left_semi").groupBy("match_id").agg(kept)
     single = df.join(repeated, "match_id", "left_anti")
     return single.select(*df.columns).unionByName(copies.select("match_id", "kept.*").select(*df.columns))

@@ -55,7 +55,7 @@ def recent(events: DataFrame, n: int = RECENT_EVENTS) -> DataFrame:
     return events.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(n)
 
 
-def of_case(events: DataFrame, case_id: str, n: int | None = RECENT_EVENTS) -> DataFrame:
-    """The first n events of one case, oldest first."""
+def of_case(events: DataFrame, case_id: str, n: int | None = None) -> DataFrame:
+    """The events of one case, oldest first; a page of n on request."""
     ordered = events.where(F.col("case_id") == str(case_id)).orderBy("event_timestamp", "event_id")
     return ordered.limit(n) if n else ordered

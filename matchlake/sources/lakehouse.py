@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from matchlake.schemas import LAKEHOUSE, LAKEHOUSE_COLUMNS
+from matchlake.schemas import LAKEHOUSE
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 ROWS_PER_FILE = 2_000_000
@@ -28,7 +29,9 @@ def write_seasons(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
     The rows of a season are spread over several writers by a rebalance, which Spark's adaptive
     execution sizes at run time and splits where one season is much larger than the rest.
     """
-    balanced = df.select(*LAKEHOUSE_COLUMNS).hint("rebalance", "season")
+    # the table's own types: totals of one match fit into an INT, those of the fact are wider
+    typed = [F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(LAKEHOUSE).fields]
+    balanced = df.select(*typed).hint("rebalance", "season")
     (
         balanced.write.partitionBy("season")
         .mode("overwrite")
@@ -42,10 +45,3 @@ def write_seasons(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Typed read: no inference, and the season stays text."""
     return spark.read.schema(LAKEHOUSE).parquet(path)
-
-
-def latest_per_match(df: DataFrame, version: str = "ingested_at") -> DataFrame:
-    """One row per match_id, the newest: a max over structs, which combines before the shuffle."""
-    others = [c for c in df.columns if c not in (version, "match_id")]
-    newest = F.max(F.struct(version, *others)).alias("row")
-    return df.groupBy("match_id").agg(newest).select("match_id", "row.*").select(*df.columns)

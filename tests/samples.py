@@ -70,14 +70,10 @@ def events(spark, rows):
     return spark.createDataFrame(made, EVENT)
 
 
-def steady_run():
-    at, rows = 0, []
-    for activity, seconds, records in [
-        ("bronze", 10, 1), ("staging", 15, 74), ("validation", 8, 74), ("cdc", 7, 74), ("silver", 30, 74), ("gold", 15, 74),
-    ]:
-        rows.append({
-            "case_id": "steady", "activity": activity, "at": at, "until": at + seconds, "seconds": float(seconds),
-            "records": records,
-        })
-        at += seconds
-    return rows
+def nightly_run():
+    """Three overlapping stages with pauses: staging starts before bronze ends, gold after a gap."""
+    return [
+        {"case_id": "nightly", "activity": "bronze", "at": 0, "until": 12, "seconds": 12.0, "records": 40},
+        {"case_id": "nightly", "activity": "staging", "at": 9, "until": 30, "seconds": 21.0, "records": 38},
+        {"case_id": "nightly", "activity": "gold", "at": 44, "until": 50, "seconds": 6.0, "records": 22},
+    ]

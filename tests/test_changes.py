@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.operators import cdc
+from matchlake.operators import cdc, gold
 from matchlake.plans import maintenance_suite, season_load
-from matchlake.plans.publish import Store
+from matchlake.plans.publish import Conflict, Store
 from matchlake.operators import maintenance
 from matchlake.session import scratch
 from matchlake.sources import registry
@@ -25,16 +25,19 @@ def test_fingerprint(spark):
 
 
 def test_classify(spark):
-    staged = hashes(spark, {"new": "1", "same": "2", "changed": "3"})
-    state = hashes(spark, {"same": "2", "changed": "0", "gone": "4", "never loaded": "5"})
+    staged = hashes(spark, {"new": "1", "same": "2", "changed": "3", "removed": "6"})
+    state = hashes(spark, {"same": "2", "changed": "0", "gone": "4", "never loaded": "5", "removed": "6"})
     loaded = spark.createDataFrame([("same",), ("changed",), ("gone",), ("loaded only",)], "business_key string")
-    changes = cdc.classify(staged, state, loaded)
+    changes = cdc.classify(staged, state, loaded, complete=True)
     assert operations(changes) == {
-        "new": "INSERT", "same": "SKIP", "changed": "UPDATE", "gone": "DELETE", "loaded only": "DELETE",
+        "new": "INSERT", "same": "SKIP", "changed": "UPDATE", "gone": "DELETE", "loaded only": "DELETE", "removed": "INSERT",
     }
-    assert set(operations(cdc.classify(staged, state, loaded, complete=False)).values()) == {"INSERT", "SKIP", "UPDATE"}
+    assert set(operations(cdc.classify(staged, state, loaded)).values()) == {"INSERT", "SKIP", "UPDATE"}
+    scoped = loaded.withColumn("in_scope", F.col("business_key") != "gone")
+    unreadable = spark.createDataFrame([("loaded only",)], "business_key string")
+    assert "DELETE" not in operations(cdc.classify(staged, state, scoped, True, unreadable)).values()
     after = {r["business_key"]: r["record_hash"] for r in cdc.state_after(state, changes).collect()}
-    assert after == {"new": "1", "same": "2", "changed": "3", "never loaded": "5"}
+    assert after == {"new": "1", "same": "2", "changed": "3", "never loaded": "5", "removed": "6"}
 
 
 def test_copies_do_not_multiply(spark):
@@ -63,7 +66,7 @@ def test_load_again_with_changes(spark, store):
     assert store.current()["2024"] == "v1"
 
     second = {"a": document(runs=100), "c": document(), "old": document(season="2023")}
-    done = season_load.load(store, documents(spark, second), "v3")
+    done = season_load.load(store, documents(spark, second), "v3", complete=True)
     assert {k: done.counts[k] for k in ("inserted", "updated", "deleted", "skipped")} == {
         "inserted": 1, "updated": 1, "deleted": 1, "skipped": 1,
     }
@@ -78,11 +81,67 @@ def test_load_again_with_changes(spark, store):
 
 def test_filtered_snapshot_deletes_nothing(spark, store):
     season_load.load(store, documents(spark, {"a": document(), "b": document()}), "v1")
-    done = season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2", complete=False)
+    done = season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2")
     assert done.counts["deleted"] == 0
     assert facts(store) == {"a": 100, "b": 35}
 
 
+def test_snapshot_speaks_for_its_seasons(spark, store):
+    season_load.load(store, documents(spark, {"a": document(), "b": document(), "old": document(season="2023")}), "v1")
+    done = season_load.load(store, documents(spark, {"a": document()}), "v2", complete=True)
+    assert done.counts["deleted"] == 1 and facts(store) == {"a": 35, "old": 35}
+
+
+def test_broken_update_keeps_the_good_version(spark, store):
+    season_load.load(store, documents(spark, {"a": document(), "b": document()}), "v1")
+    broken = {"a": document(teams=["one"]), "b": "{cut"}
+    done = season_load.load(store, documents(spark, broken), "v2", complete=True)
+    assert (done.counts["deleted"], done.counts["failed"]) == (0, 2) and facts(store) == {"a": 35, "b": 35}
+
+
+def test_logs_hold_all_runs(spark, store):
+    season_load.load(store, documents(spark, {"a": document(), "cut": "{", "bad": {"x": 1}}), "v1")
+    season_load.load(store, documents(spark, {"a": document(), "late": "{{"}), "v2")
+    kept = sorted((r["run"], r["source"], r["season"]) for r in store.read_log("quarantine_records").collect())
+    assert kept == [("v1", "bad.json", "unrouted"), ("v1", "cut.json", "unrouted"), ("v2", "late.json", "unrouted")]
+    log = sorted((r["run_id"], r["business_key"], r["operation"]) for r in store.read_log("cdc_log").collect())
+    assert log == [("v1", "a", "INSERT"), ("v2", "a", "SKIP")]
+    stages = [(r["case_id"], r["activity"], r["status"], r["records_processed"]) for r in store.read_log("process_events").orderBy("case_id", "event_id").collect()]
+    assert stages == [
+        ("v1", "validation", "SUCCESS", 3), ("v1", "cdc", "SUCCESS", 1), ("v1", "silver", "SUCCESS", 1), ("v1", "gold", "SUCCESS", 1),
+        ("v1", "lakehouse", "SUCCESS", 1), ("v2", "validation", "SUCCESS", 2), ("v2", "cdc", "SUCCESS", 1),
+    ]
+    status = {r["season"]: r["gold_status"] for r in season_load.stage_status(season_load.stage_events(store)).collect()}
+    assert status["2024"] == "SUCCESS"
+
+
+def test_deleted_season_comes_back(spark, store):
+    docs = documents(spark, {"a": document(), "old": document(season="2023")})
+    season_load.load(store, docs, "v1")
+    season_load.delete_season(store, "2023", "d1")
+    played = lambda: store.read("dim_team").where("team_name = 'Northern Lions'").first()["matches_played"]
+    assert facts(store) == {"a": 35} and played() == 1
+    done = season_load.load(store, docs, "v2")
+    assert done.counts["inserted"] == 1 and facts(store) == {"a": 35, "old": 35} and played() == 2
+
+
+def test_conflicting_runs(spark, store):
+    season_load.load(store, documents(spark, {"a": document()}), "v1")
+    parent = store.head()
+    store.commit("other", ["2024"], parent=parent)
+    with pytest.raises(Conflict):
+        store.commit("late", ["2024"], parent=parent)
+    assert store.current()["2024"] == "other"
+    with pytest.raises(RuntimeError):
+        store.require("no_such_table", {"2024": "v1"})
+
+
+def test_sums_beyond_four_bytes(spark):
+    big = spark.createDataFrame([("T", 1, 1, 3_000_000_000, 5, 7)], "team_name string, matches_played long, wins long, total_runs long, total_boundaries long, total_sixes long")
+    both = big.unionByName(big)
+    assert gold.team_dimension_from(both.select("team_name"), both).first()["total_runs"] == 6_000_000_000
+
+
 def test_failed_run_changes_nothing(spark, store, monkeypatch):
     season_load.load(store, documents(spark, {"a": document()}), "v1")
     monkeypatch.setattr(season_load.gold, "team_dimension_from", lambda *a: 1 / 0)
@@ -90,6 +149,8 @@ def test_failed_run_changes_nothing(spark, store, monkeypatch):
         season_load.load(store, documents(spark, {"a": document(runs=100)}), "v2")
     monkeypatch.undo()
     assert facts(store) == {"a": 35}
+    failed = store.read_log("process_events").where("status = 'FAILED'").collect()
+    assert [(r["case_id"], r["activity"]) for r in failed] == [("v2", "gold")] and "ZeroDivision" in failed[0]["error_message"]
     done = season_load.load(store, None, "v2", resume=True)
     assert done.counts["updated"] == 1 and facts(store) == {"a": 100}
     runs = {r["version"]: (r["status"], r["counts"]["updated"]) for r in store.runs().collect()}

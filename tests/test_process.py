@@ -9,24 +9,22 @@ from matchlake.operators import process_metrics as metrics
 from matchlake.operators import process_reports as reports
 from matchlake.session import scratch
 from matchlake.sources import events as event_log
-from tests.samples import events, steady_run
+from tests.samples import events, nightly_run
 
 
-def test_single_run(spark):
-    run = events(spark, steady_run())
-    assert tuple(metrics.cycle_time(run).first()) == (85.0, 85.0)
-    durations = {r["activity"]: r["duration_seconds"] for r in metrics.stage_durations(run).collect()}
-    assert (durations["bronze"], durations["staging"], durations["silver"]) == (10.0, 15.0, 30.0)
-    first = metrics.bottlenecks(run).first()
-    assert (first["activity"], first["duration_seconds"]) == ("silver", 30.0)
+def test_overlapping_run(spark):
+    run = events(spark, nightly_run())
+    cycle, lead = metrics.cycle_time(run).select("cycle_time_seconds", "lead_time_seconds").first()
+    assert (cycle, lead) == (50.0, 50.0)
+    assert {r["activity"]: r["duration_seconds"] for r in metrics.stage_durations(run).collect()} == {"bronze": 12.0, "staging": 21.0, "gold": 6.0}
+    assert [r["activity"] for r in metrics.bottlenecks(run).collect()] == ["staging", "bronze", "gold"]
     summary = metrics.process_summary(run).first()
-    assert summary["primary_bottleneck"] == "silver"
-    assert (summary["total_records"], summary["event_count"]) == (371, 6)
-    assert summary["throughput_rps"] == 4.36
+    # 100 records in 50 seconds
+    assert (summary["primary_bottleneck"], summary["total_records"], summary["event_count"], summary["throughput_rps"]) == ("staging", 100, 3, 2.0)
 
 
 def test_no_events(spark):
-    nothing = events(spark, steady_run()).where("false")
+    nothing = events(spark, nightly_run()).where("false")
     assert metrics.cycle_time(nothing).first()["cycle_time_seconds"] == 0.0
     assert metrics.sla_compliance(nothing).first()["compliance_pct"] == 100.0
     summary = metrics.process_summary(nothing).first()
@@ -72,29 +70,38 @@ def test_deviations(spark, pair, illegal):
     assert anomalies.deviations(events(spark, rows)).count() == illegal
 
 
-def fold(rows):
-    """The order rule, event by event."""
-    found = []
-    by_case = {}
-    for r in rows:
-        by_case.setdefault(r["case_id"], []).append(r)
-    for case in by_case.values():
-        index = {s: i for i, s in enumerate(STAGE_SEQUENCE)}
-        furthest, seen, season = -1, [], None
-        for e in sorted(case, key=lambda e: (e["at"], index.get(e["activity"], 999), e["event_id"])):
-            if e["activity"] not in index:
-                continue
-            here = index[e["activity"]]
-            if e["season"] is not None and season is not None and e["season"] != season:
-                furthest, seen, season = -1, [], e["season"]
-            elif furthest >= len(STAGE_SEQUENCE) - 2 and e["activity"] in ("bronze", "staging"):
-                furthest, seen = -1, []
-            season = season or e["season"]
-            if here < furthest:
-                found.append((e["event_id"], tuple(seen + [e["activity"]])))
-            else:
-                furthest = max(furthest, here)
-                seen.append(e["activity"])
+def late_events(rows):
+    """(event, its order) of every event that follows a later stage of its own cycle, by looking back.
+
+    A cycle begins at an event that names another season than the case did before, or at one of the
+    first two stages once the cycle before has reached one of the last two.
+    """
+    place = {stage: n for n, stage in enumerate(STAGE_SEQUENCE)}
+    key = lambda e: (e["case_id"], e["at"], place[e["activity"]], e["event_id"])
+    line = sorted((e for e in rows if e["activity"] in place), key=key)
+    begins = []
+
+    def back(i):
+        """Events of the same case before the i-th, the nearest first."""
+        return (k for k in range(i - 1, -1, -1) if line[k]["case_id"] == line[i]["case_id"])
+
+    def cycle(i):
+        """Events before the i-th in its cycle, the nearest first."""
+        for k in back(i):
+            yield k
+            if begins[k]:
+                return
+
+    found, late = [], set()
+    for i, e in enumerate(line):
+        named = next((line[k]["season"] for k in back(i) if line[k]["season"]), None)
+        other_season = bool(e["season"] and named and e["season"] != named)
+        again = place[e["activity"]] < 2 and any(place[line[k]["activity"]] >= len(place) - 2 for k in cycle(i))
+        begins.append(other_season or again)
+        if not begins[i] and any(place[line[k]["activity"]] > place[e["activity"]] for k in cycle(i)):
+            late.add(i)
+            order = [line[k]["activity"] for k in cycle(i) if k not in late][::-1]
+            found.append((e["event_id"], tuple([*order, e["activity"]])))
     return sorted(found)
 
 
@@ -114,12 +121,12 @@ def random_events(seed, cases, n, hot_share):
 
 
 @pytest.mark.parametrize("hot_rows, slices", [(10**9, None), (40, 7)])
-def test_sequence_rule_against_a_fold(spark, hot_rows, slices):
+def test_sequence_rule_against_its_definition(spark, hot_rows, slices):
     """One case owns a third of the events; with the low limit it is scanned in slices."""
     rows = random_events(5, 60, 1500, 0.34)
     found = anomalies.expand_order(anomalies.out_of_sequence(events(spark, rows), hot_rows=hot_rows, slices=slices))
     got = sorted((r["event_id"], tuple(r["observed_order"])) for r in found.collect())
-    assert got == fold(rows)
+    assert got == late_events(rows)
 
 
 def test_transitions_of_a_hot_case(spark):
@@ -140,7 +147,7 @@ def test_case_breakdown_over_days(spark):
 
 
 def test_windows_are_free_of_python_and_reuse_one_shuffle(spark):
-    df = events(spark, steady_run())
+    df = events(spark, nightly_run())
     plan = anomalies.out_of_sequence(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
