@@ -55,3 +55,10 @@ def packed(docs: DataFrame, **needed: Column) -> DataFrame:
 
 def unpacked(packed_docs: DataFrame) -> DataFrame:
     return packed_docs.select("doc.*")
+
+
+def sampled(hashed: Column, size: int, rows: int) -> Column:
+    """Whether a row is in a sample of about ``size`` of ``rows``: those with the lowest hashes. No
+    rows are gathered to pick it."""
+    slots = 1 << 30
+    return F.pmod(hashed, F.lit(slots)) < min(slots, -(-slots * size // max(1, rows)))

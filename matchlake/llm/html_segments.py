@@ -2,7 +2,7 @@
 
 A page is a sequence of tokens. Words score positive and tags negative; the weights are log odds of a
 token inside against outside the main text, counted over labelled pages: those whose markup names its
-one article (at most ``SAMPLE`` of them, chosen by hash, which bounds what training reads). A
+one article (about ``SAMPLE`` of them, chosen by hash, which bounds what training reads). A
 part that pages use for something else (menu, footer, form, advert, comments, ...) is one negative
 token whatever it holds, and words inside links are a class of their own. One linear scan finds the
 contiguous run of tokens with the greatest sum; its words are the main text. Where a page names one
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import sampled, whole
 
 SAMPLE = 2000
 #: Added to each count of a token class.
@@ -205,13 +205,12 @@ def learn(pages: DataFrame, source: str = "html") -> dict[str, float]:
     """Weights from a bounded sample of labelled pages; a few hundred counts reach the driver."""
     page = whole(source)
     labelled = pages.select(page.alias("page")).where(F.lower("page").contains("<article") | F.lower("page").contains("<main"))
-    sample = labelled.select("page", F.xxhash64("page").alias("order")).orderBy("order").limit(SAMPLE).select("page")
+    chosen = labelled.where(sampled(F.xxhash64("page"), SAMPLE, labelled.count()))
 
     def mapped(batches):
         for batch in batches:
             found: Counter = Counter()
-            for p in batch.column(0):
-                text = p.as_py()
+            for text in set(batch.column(0).to_pylist()):  # a page with many copies counts once here
                 if named_article(text):
                     found.update(count(text))
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +218,7 @@ def learn(pages: DataFrame, source: str = "html") -> dict[str, float]:
                 ["kind", "inside", "n"],
             )
 
-    rows = sample.mapInArrow(mapped, "kind string, inside boolean, n bigint").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()
+    rows = chosen.mapInArrow(mapped, "kind string, inside boolean, n bigint").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()
     return weights({(r.kind, r.inside): r.n for r in rows})
 
 
