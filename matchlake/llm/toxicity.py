@@ -10,8 +10,7 @@ a letter, and every different word of a task is walked once.
 A hit is looked at in its window of words: in quotation marks or after words of speaking or naming it
 is quotation, next to a word that addresses somebody it is abuse. Hits of words (a misspelled
 one counts less) and stems, each plain and quoted, and addressed hits are the features of a logistic
-model, fitted on at most ``SAMPLE`` labelled documents (an upper bound on what training reads, chosen
-by hash). A word whose misspellings show up in clean documents keeps a smaller error budget. The score
+model, fitted on about ``SAMPLE`` labelled documents (a bound on what training reads, chosen by hash). A word whose misspellings show up in clean documents keeps a smaller error budget. The score
 sees the text only.
 
 Rows with crc32(doc_id) mod 5 = 0 are held out of all learning. Cases: null and empty texts have no
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.once import once
 from ..session import written
-from .common import whole
+from .common import sampled, whole
 
 FOLDS = 5
 SAMPLE = 20_000
@@ -207,9 +206,10 @@ def remainder(doc_id: Column) -> Column:
 def training(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
     """(toxic, text) of the labelled documents to learn from, written once."""
     judged = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("id_")).agg((F.max(label) > 0).cast("int").alias("toxic"))
-    chosen = judged.where((remainder(F.col("id_")) != 0)).orderBy(F.xxhash64("id_"), "id_").limit(SAMPLE)
+    judged = written(judged.where(remainder(F.col("id_")) != 0), "toxic")
+    chosen = judged.where(sampled(F.xxhash64("id_"), SAMPLE, judged.count()))
     mine = docs.select(F.col(doc_id).alias("id_"), whole(text).alias("t")).where(remainder(F.col("id_")) != 0)
-    return written(mine.join(written(chosen, "toxic"), "id_").select("toxic", "t"), "toxic")
+    return written(mine.join(chosen, "id_").select("toxic", "t"), "toxic")
 
 
 def _forms(rows: DataFrame) -> DataFrame:
@@ -272,7 +272,7 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 3
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="toxic") -> tuple[Lexicon, np.ndarray]:
-    """Lexicon and weights from the labelled rows; at most SAMPLE short vectors reach the driver."""
+    """Lexicon and weights from the labelled rows; about SAMPLE short vectors reach the driver."""
     train = training(docs, labels, doc_id, text, label)
     lexicon = learn(train)
     rows = _scored(train.select("toxic", "t"), lexicon, None).collect()
