@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import key_text, packed, whole
+from .common import key_text, packed, sampled, whole
 
 SHINGLE = 4
 SEED = 42
@@ -180,7 +180,7 @@ def links(points_df: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b), a > b: a spanning forest of the links between the distinct ``fp`` of ``points_df``."""
     spark = points_df.sparkSession
     n = points_df.count()
-    sample = np.array([r.fp for r in points_df.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
+    sample = np.sort(np.array([r.fp for r in points_df.where(sampled(F.xxhash64("fp"), SAMPLE, n)).select("fp").collect()], np.int64)).view(np.uint64)
     levels = min(LEVELS, max(0, int(np.ceil(np.log2(max(n, 1) / SHARD)))))
     tree = fit_tree(sample, levels) if len(sample) else 0
 
