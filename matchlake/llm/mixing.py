@@ -127,7 +127,8 @@ def manifest(docs: DataFrame, doc_id="doc_id", source="source", text="text", see
 
 def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", seed: int = SEED, **how) -> DataFrame:
     """The mix itself: the columns of ``docs``, and a row for each repetition of a document with
-    ``mix_copy`` (from 1) and ``mix_words``, the words this repetition takes from the text's start."""
+    ``mix_copy`` (from 1) and ``mix_words``, the words this repetition takes from the text's start.
+    Columns of ``docs`` that have these names are replaced."""
     rows = packed(docs, source=F.col(source).cast("string"), size=word_count(whole(text)), digest=digest(F.col(doc_id), seed))
     plan = taken(rows, **how)
     copies = plan.where("taken > 0").select(
@@ -135,4 +136,5 @@ def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", seed: in
         F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("mix_copy"),
     )
     mix_words = F.least(F.col("size"), F.col("taken") - (F.col("mix_copy") - 1) * F.col("size"))
-    return copies.select("doc.*", F.col("mix_copy"), mix_words.alias("mix_words"))
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in ("mix_copy", "mix_words")]
+    return copies.select(*kept, F.col("mix_copy"), mix_words.alias("mix_words"))

@@ -75,6 +75,11 @@ def test_mix_repeats_what_the_manifest_says(frame, odd):
     assert sum(r.mix_words for r in mixed.collect()) == sum(r.taken for r in mixing.manifest(docs).collect())
 
 
+def test_mixing_a_mix_again(frame, odd):
+    twice = mixing.mix(mixing.mix(frame(odd)))
+    assert twice.columns == [*frame(odd).columns, "mix_copy", "mix_words"] and twice.count() > 0
+
+
 def test_query_against_sql(spark, sf):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
