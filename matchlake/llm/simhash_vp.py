@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -268,13 +268,21 @@ def report(docs: DataFrame, doc_id="doc_id", text="text", radius: int = RADIUS)
     )
 
 
+def identity(doc_id: Column, text: Column) -> Column:
+    return F.concat(key_text(doc_id), F.lit("|"), F.xxhash64(text).cast("string"))
+
+
 def one_of_each(docs: DataFrame, doc_id="doc_id", text="text", radius: int = RADIUS) -> DataFrame:
     """One document of each component, the one with the smallest id (nulls last, then by text hash);
     of repeated rows one stays. Columns and texts stay as they are."""
-    identity = lambda id_, text_: F.concat(key_text(id_), F.lit("|"), F.xxhash64(text_).cast("string"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), identity(F.col(doc_id), whole(text)).alias("key"), whole(text).alias("text_"))
     marked = written(fingerprints(rows, "text_"), "vp")
     named = written(components(marked, radius).drop("component_id"), "vp")
+    return first_of_each(docs, marked, named, doc_id, text)
+
+
+def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with the first of each component only; ``marked`` has doc_id, key and fp, ``named`` fp and root."""
     grouped = marked.join(named, "fp").select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("me"))
     first = grouped.groupBy("root").agg(F.min("me").alias("first"), F.count("*").alias("rows"))
     losing = grouped.join(first, "root").where(F.col("me.key") != F.col("first.key")).select(F.col("me.key").alias("key")).distinct()
