@@ -39,14 +39,15 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.I | re.S,
 )
-ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: An attribute's name and value; every one is consumed, so that no name is looked for inside a value.
+ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 #: Elements that never hold main text.
 OTHER = frozenset("nav header footer aside form button menu dialog head title option figcaption label fieldset".split())
 #: Words in class, id or role that mark a part as something else.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login"
     r"|nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget|related|recommended|share|sharing|social|comments?|respond|replies|disqus"
-    r"|footer|(?:site|page|global)[_-]?header|masthead|toolbar|pagination|pager|copyright|legal|search|navigation|complementary|contentinfo|hidden)(?:$|[\s_-])", re.I,
+    r"|footer|(?:site|page|global)[_-]?header|masthead|toolbar|pagination|pager|copyright|legal|search|navigation|complementary|contentinfo)(?:$|[\s_-])", re.I,
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main "
@@ -69,6 +70,8 @@ def _other(name: str, attrs: str, inside_main: bool) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
+        if key == "class" and name not in ("html", "body", *MAIN) and "hidden" in value.lower().split():
+            return True
         if key in ("class", "id", "role") and name not in ("html", "body", *MAIN) and MARKED.search(value):
             return True
     return False
