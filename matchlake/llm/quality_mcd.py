@@ -13,8 +13,10 @@ so a hot group costs no more than its rows, and the bins tell which rows are the
 whole ten-thousandths and sums are exact decimals, so reruns agree bit by bit.
 
 ``FLOOR`` is the spread that any clean prose may show; its square is added to each variance, since
-most clean texts have no symbol and no repeated line and would give a singular estimate. Groups below
-``SMALL`` documents are pooled by language, and pools below it with each other.
+most clean texts have no symbol and no repeated line and would give a singular estimate. A group's
+estimate is drawn towards that of its language, and this towards that of all documents: the documents
+beyond ``LEAST``, of which four dimensions need as many, weigh n / (n + SMALL / 10). So verdicts change
+smoothly with size, and a group of LEAST or fewer, of which a single one may be junk, follows the others.
 
 Cases: a null or empty text has no words and fails the base rules; null languages and sources are
 groups of their own; an empty table gives an empty result; equal rows get equal verdicts.
@@ -39,7 +41,8 @@ DIM = len(FLOOR)
 SCALE = 10_000
 COVER = 0.75
 STEPS = 4
-SMALL = 200
+#: Documents beyond LEAST with which a group weighs ten times as much as the wider one it is drawn towards.
+LEAST, SMALL = 20, 200
 #: Chi-square of 4 degrees of freedom: exceeded by one in a million.
 CUTOFF = 33.38
 #: Makes the covariance of the nearest 75 % estimate that of all, for 4 normal variables.
@@ -112,9 +115,10 @@ def _sums() -> list[Column]:
 
 def _factored(df: DataFrame, keys: list[str], c: float) -> DataFrame:
     """From covariance columns c{i}{j} (i >= j) and means m{i}: the inverse Cholesky factor l{i}{j}
-    of ``c`` times the covariance plus the squared floors, and log_det."""
+    of ``c`` times the covariance plus the squared floors, that product as v{i}{j}, and log_det."""
     means = [f"m{i}" for i in range(DIM)]
-    df = df.select(*keys, *means, *[
+    products = [f"v{i}{j}" for i in range(DIM) for j in range(i + 1)]
+    df = df.select(*keys, *means, *[(F.col(f"c{v[1:]}") * c).alias(v) for v in products], *[
         (F.col(f"c{i}{j}") * c + (FLOOR[i] ** 2 if i == j else 0.0)).alias(f"a{i}{j}") for i in range(DIM) for j in range(i + 1)
     ])
     for j in range(DIM):  # column by column; rounding cannot reach the floor
@@ -133,7 +137,7 @@ def _factored(df: DataFrame, keys: list[str], c: float) -> DataFrame:
                 f"l{i}{j}", -sum((F.col(f"f{i}{k}") * F.col(f"l{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"f{i}{i}")
             )
     log_det = sum((F.log(f"f{i}{i}") for i in range(DIM)), F.lit(0.0)) * 2
-    return df.select(*keys, *means, *[f"l{i}{j}" for i in range(DIM) for j in range(i + 1)], log_det.alias("log_det"))
+    return df.select(*keys, *means, *products, *[f"l{i}{j}" for i in range(DIM) for j in range(i + 1)], log_det.alias("log_det"))
 
 
 def distance() -> Column:
@@ -199,22 +203,28 @@ def _step(vectors: DataFrame, model: DataFrame) -> DataFrame:
 def fit(stats: DataFrame) -> DataFrame:
     """Estimates by (lang_key, source_key), from narrow rows with these and the counts."""
     sound = stats.where(~base_failed()).select("lang_key", "source_key", *vector())
-    cells = written(sound.groupBy("lang_key", "source_key").count(), "mcd")
-    small = F.col("count") < SMALL
-    pooled = F.sum(F.when(small, F.col("count")).otherwise(0)).over(Window.partitionBy("lang_key"))
-    groups = written(cells.select(
-        "lang_key", "source_key",
-        F.when(~small, F.concat(F.lit("s"), "lang_key", F.lit("|"), "source_key"))
-        .when(pooled >= SMALL, F.concat(F.lit("l"), "lang_key")).otherwise("all").alias("grp"),
-    ), "mcd")
-    vectors = written(sound.join(groups, ["lang_key", "source_key"]).drop("lang_key", "source_key"), "mcd")
+    groups = {
+        "cell": F.concat(F.lit("s"), "lang_key", F.lit("|"), "source_key"), "lang": F.concat(F.lit("l"), "lang_key"), "all": F.lit("all"),
+    }
+    vectors = written(sound.select(F.explode(F.array(*groups.values())).alias("grp"), *[f"x{i}" for i in range(DIM)]), "mcd")
     model = written(_starts(vectors), "mcd")
     for _ in range(STEPS):
         model = written(_step(vectors, model), "mcd")
     best = model.withColumn(
         "rank", F.row_number().over(Window.partitionBy("grp").orderBy("log_det", "start"))
-    ).where("rank = 1").drop("rank", "start", "log_det")
-    return written(groups.join(best, "grp").drop("grp"), "mcd")
+    ).where("rank = 1")
+    names = [*[f"m{i}" for i in range(DIM)], *[f"v{i}{j}" for i in range(DIM) for j in range(i + 1)]]
+    best = written(best.join(vectors.groupBy("grp").agg(F.count("*").cast("double").alias("n")), "grp").select("grp", "n", *names), "mcd")
+    cells = sound.select("lang_key", "source_key").distinct().select("lang_key", "source_key", *[g.alias(k) for k, g in groups.items()])
+    for k in groups:
+        cells = cells.join(best.select(F.col("grp").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("n", *names)]), k)
+    beyond = lambda k: F.greatest(F.col(f"{k}_n") - LEAST, F.lit(0.0))
+    share = lambda k: beyond(k) / (beyond(k) + SMALL / 10)
+    drawn = lambda c: F.col(f"cell_{c}") * share("cell") + (F.col(f"lang_{c}") * share("lang") + F.col(f"all_{c}") * (1 - share("lang"))) * (1 - share("cell"))
+    keys = ["lang_key", "source_key"]
+    blended = written(cells.select(*keys, *[drawn(c).alias(c.replace("v", "c")) for c in names]), "mcd")
+    factors = _factored(blended, keys, 1.0).drop("log_det", *[c for c in names if c[0] == "v"])
+    return written(factors, "mcd")
 
 
 def judged(stats: DataFrame, model: DataFrame) -> DataFrame:
