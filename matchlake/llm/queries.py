@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
+from . import attention_lm, filter_audit, html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,40 @@ def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_segments")
 def op10_html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_segments.report(table(spark, sf_dir, "pages"))
+
+
+@query("op13_filter_audit", r"""
+WITH read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+marked AS (
+  SELECT r.part,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN r.doc_id > min(r.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed,
+         coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+  FROM read r LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON r.doc_id = l.doc_id),
+counts AS (SELECT part, failed, good, toxic, count(*) AS n FROM marked GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+orders AS (
+  SELECT a.k || b.k || c.k || d.k || e.k AS filter_order
+  FROM letters a JOIN letters b ON b.k <> a.k JOIN letters c ON c.k NOT IN (a.k, b.k)
+  JOIN letters d ON d.k NOT IN (a.k, b.k, c.k) JOIN letters e ON e.k NOT IN (a.k, b.k, c.k, d.k)),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, left(filter_order, step - 1) AS earlier FROM orders, range(1, 6) s(step)),
+met AS (
+  SELECT c.*, s.*, contains(failed, own) AS fails, failed <> '' AND regexp_matches(failed, '[' || CASE WHEN earlier = '' THEN '-' ELSE earlier END || ']') AS gone
+  FROM counts c, steps s),
+told AS (
+  SELECT part, filter_order, step::INT AS step, own,
+         sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN gone AND fails THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN failed = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN NOT gone AND fails AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM told""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
