@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 from pyspark import RDD
@@ -60,40 +61,40 @@ def code_points(text: bytes) -> int:
     return int(np.count_nonzero(np.frombuffer(text, np.uint8) & 0xC0 != 0x80))
 
 
-def chunks(text: bytes, ends: np.ndarray, low: int, high: int) -> Iterator[bytes]:
+def chunks(text: bytes, ends: np.ndarray, low: int, high: int, size: int = CHUNK) -> Iterator[bytes]:
     """The bytes from ``low`` to ``high`` in pieces of whole lines; a longer line is cut."""
     while low < high:
-        last = int(np.searchsorted(ends, low + CHUNK, "right")) - 1
-        end = int(ends[last]) if last >= 0 and ends[last] > low else low + CHUNK
+        last = int(np.searchsorted(ends, low + size, "right")) - 1
+        end = int(ends[last]) if last >= 0 and ends[last] > low else low + size
         yield text[low:min(end, high)]
         low = min(end, high)
 
 
-def cut(doc_id, text: bytes) -> tuple[tuple, Iterator[bytes]]:
+def cut(doc_id, text: bytes, rate: int, spm_rate: int, size: int) -> tuple[tuple, Iterator[bytes]]:
     """((n, form, code points of prefix and of middle), pieces of the output, marks among them)."""
     ends = line_ends(text)
     n = len(ends)
     first, second, turn, form = drawn(doc_id, n)
-    if not text or any(m in text for m in MARKS.values()) or turn >= RATE:
-        return (n, "plain", None, None), chunks(text, ends, 0, len(text))
+    if not text or any(m in text for m in MARKS.values()) or turn >= rate:
+        return (n, "plain", None, None), chunks(text, ends, 0, len(text), size)
     a, b = (int(ends[k - 1]) if k else 0 for k in (first, second))
-    form, where = "spm" if form < SPM_RATE else "psm", {"prefix": (0, a), "middle": (a, b), "suffix": (b, len(text))}
+    form, where = "spm" if form < spm_rate else "psm", {"prefix": (0, a), "middle": (a, b), "suffix": (b, len(text))}
 
     def pieces():
         for section in OUTPUT[form]:
             yield MARKS[section]
-            yield from chunks(text, ends, *where[section])
+            yield from chunks(text, ends, *where[section], size)
 
     return (n, form, code_points(text[:a]), code_points(text[a:b])), pieces()
 
 
-def emitted(number: int, rows: Iterable) -> Iterator:
+def emitted(number: int, rows: Iterable, **how: int) -> Iterator:
     """Pieces of all rows: ((key, output position), bytes), and a header before the first."""
     place = number.to_bytes(4, "big")
     for doc_id, text in rows:
         text = bytes(text)
         key = hashlib.blake2b(f"{'-' if doc_id is None else doc_id}:".encode() + text, digest_size=16).digest() + place
-        told, pieces = cut(doc_id, text)
+        told, pieces = cut(doc_id, text, **how)
         yield (key, HEADER), (doc_id, *told)
         for position, piece in enumerate(pieces):
             yield (key, position), piece
@@ -190,10 +191,10 @@ def restored(sorted_pieces: RDD, whole_texts: bool) -> RDD:
     return sorted_pieces.mapPartitions(fold)
 
 
-def _turned(docs: DataFrame, doc_id: str, text: str, names: tuple[str, str], whole_texts: bool) -> DataFrame:
+def _turned(docs: DataFrame, doc_id: str, text: str, names: tuple[str, str], whole_texts: bool, how: dict) -> DataFrame:
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).cast("binary").alias("text")).rdd
     parts = max(1, rows.getNumPartitions())
-    once = rows.mapPartitionsWithIndex(emitted).repartitionAndSortWithinPartitions(parts, dealt)
+    once = rows.mapPartitionsWithIndex(partial(emitted, **how)).repartitionAndSortWithinPartitions(parts, dealt)
     back = outputs(once, whole_texts).repartitionAndSortWithinPartitions(parts, dealt)
     count = lambda name: T.StructField(name, T.LongType())
     label = lambda name: T.StructField(name, T.StringType())
@@ -202,11 +203,11 @@ def _turned(docs: DataFrame, doc_id: str, text: str, names: tuple[str, str], who
     return docs.sparkSession.createDataFrame(restored(back, whole_texts), schema, verifySchema=False)
 
 
-def transformed(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def transformed(docs: DataFrame, doc_id="doc_id", text="text", rate=RATE, spm_rate=SPM_RATE, size=CHUNK) -> DataFrame:
     """doc_id, n, form, prefix_chars, middle_chars, the ``output`` and the text ``restored`` from it."""
-    return _turned(docs, doc_id, text, ("output", "restored"), True)
+    return _turned(docs, doc_id, text, ("output", "restored"), True, {"rate": rate, "spm_rate": spm_rate, "size": size})
 
 
-def report(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def report(docs: DataFrame, doc_id="doc_id", text="text", rate=RATE, spm_rate=SPM_RATE, size=CHUNK) -> DataFrame:
     """As ``transformed``, with running SHA-256 digests in place of the texts."""
-    return _turned(docs, doc_id, text, ("output_sha256", "restored_sha256"), False)
+    return _turned(docs, doc_id, text, ("output_sha256", "restored_sha256"), False, {"rate": rate, "spm_rate": spm_rate, "size": size})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, filter_audit, html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, url_model
+from . import attention_lm, fill_middle, filter_audit, html_segments, mixing, pii, qgram_leaks, quality_mcd, secret_scan, simhash_vp, toxicity, trie_bpe, url_model
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,42 @@ def op10_html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_segments.report(table(spark, sf_dir, "pages"))
 
 
+@query("op11_trie_bpe")
+def op11_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_bpe.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_middle", r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, [('0x' || substr(digest, 1 + 8 * i, 8))::UBIGINT for i in range(0, 4)] AS h FROM cut),
+placed AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+  FROM placed),
+turned AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output
+  FROM parts),
+marked AS (SELECT *, strpos(output, '<P>') AS p, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m FROM turned)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+              WHEN 'psm' THEN substr(output, 4, s - 4) || substr(output, m + 3) || substr(output, s + 3, m - s - 3)
+              ELSE substr(output, p + 3, m - p - 3) || substr(output, m + 3) || substr(output, 4, p - 4) END) AS restored_sha256
+FROM marked""")
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
 @query("op13_filter_audit", r"""
 WITH read AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,

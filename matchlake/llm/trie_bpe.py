@@ -13,7 +13,7 @@ outwards each side is a list of symbols, and each symbol lives until the merge t
 merge across the border happens if two symbols that live at the same time have one that comes before
 the ends of both; among equal merges the leftmost comes first, so one inside the left id goes before it.
 
-Edges of the trie are byte strings, so its size grows with the number of words and not with their
+Words are inserted in order; edges are byte strings, so the trie's size grows with the number of words and not with their
 lengths, and a word of any length costs time in proportion to its length. Blocks are bounded by bytes,
 tables by numbers of entries (they start anew when full, which changes no result).
 
@@ -63,36 +63,42 @@ def byte_signs() -> dict[str, int]:
 
 
 class Trie:
-    """Words by their bytes. A node is [edge, children by first byte, the words' number or None]."""
+    """Words by their bytes, inserted in order. A node is [depth above its edge, edge, its word's number
+    or None, children]."""
 
     def __init__(self):
-        self.root = [b"", {}, None]
+        self.root = [0, b"", None, []]
+        self.path, self.before = [self.root], b""
 
     def insert(self, word: bytes, number: int) -> None:
-        node, at = self.root, 0
-        while at < len(word):
-            child = node[1].get(word[at])
-            if child is None:
-                node[1][word[at]] = [word[at:], {}, number]
-                return
-            edge = child[0]
-            if word.startswith(edge, at):
-                node, at = child, at + len(edge)
-                continue
-            same = next(i for i, b in enumerate(edge) if at + i == len(word) or word[at + i] != b)
-            middle = [edge[:same], {edge[same]: child}, None]
-            child[0] = edge[same:]
-            node[1][word[at]] = middle
-            node, at = middle, at + same
-        node[2] = number
+        """Add a word that is greater than all before it: its branch leaves the last word's path where
+        the two begin to differ."""
+        shared = 0
+        for x, y in zip(self.before, word):
+            if x != y:
+                break
+            shared += 1
+        self.before, path = word, self.path
+        while path[-1][0] >= shared and len(path) > 1:
+            path.pop()
+        top = path[-1]
+        if top[0] + len(top[1]) > shared:  # the branch leaves inside this edge
+            at = shared - top[0]
+            top[3], top[2], top[1] = [[shared, top[1][at:], top[2], top[3]]], None, top[1][:at]
+        if shared == len(word):
+            top[2] = number  # the empty word
+            return
+        node = [shared, word[shared:], number, []]
+        top[3].append(node)
+        path.append(node)
 
     def walk(self) -> Iterator[tuple[int, bytes, int | None]]:
-        """(depth above the edge, edge, number) of all nodes, each after its parent and before the next branch."""
-        todo = [(0, self.root)]
+        """(depth above the edge, edge, number) of all nodes, depth first."""
+        todo = [self.root]
         while todo:
-            depth, node = todo.pop()
-            yield depth, node[0], node[2]
-            todo += [(depth + len(node[0]), child) for child in node[1].values()]
+            depth, edge, number, children = todo.pop()
+            yield depth, edge, number
+            todo += reversed(children)
 
 
 class Coder:
@@ -122,10 +128,9 @@ class Coder:
             made = self.ids[self.shown[left] + self.shown[right]]
             self.rank[left, right] = at
             self.parts[made] = (left, right, at)
-        self.lengths = {}  # lengths of the ids that end in a byte, longest first
-        for token in self.ids:
-            self.lengths.setdefault(token[-1], set()).add(len(token))
-        self.lengths = {b: sorted(n, reverse=True) for b, n in self.lengths.items()}
+        self.prefixes = {b"": 0}  # beginnings of ids, numbered when met; a state is the longest one that ends here
+        self.begins = {token[:n] for token in self.ids for n in range(1, len(token) + 1)}
+        self.states, self.moves, self.ends = [b""], {}, [[]]
         self.sides, self.pairs, self.packed = ({}, {}), {}, {}
 
     def side(self, token: int, right: int) -> list[tuple[int, int]]:
@@ -159,40 +164,53 @@ class Coder:
             else:
                 j += 1
 
+    def move(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        here = self.states[state] + bytes([byte])
+        while here not in self.begins:
+            here = here[1:]
+        if here not in self.prefixes:
+            self.prefixes[here] = len(self.states)
+            self.states.append(here)
+            found = ((self.ids.get(here[i:]), len(here) - i) for i in range(len(here)))
+            self.ends.append([f for f in found if f[0] is not None])  # ids that end here, longest first
+        found = self.moves[state << 8 | byte] = self.prefixes[here]
+        return found
+
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """The packed ids of distinct words."""
-        words, trie, out = list(words), Trie(), {}
+        words, trie, out = sorted(words), Trie(), {}
         for number, word in enumerate(words):
             trie.insert(word, number)
-        ids, lengths, pairs, path, last = self.ids, self.lengths, self.pairs, bytearray(), []
+        moves, ends, pairs, shown = self.moves, self.ends, self.pairs, self.shown
         if len(pairs) > KEPT_PAIRS:
             pairs.clear()
+        last, reached = [], [0]  # along the path: the last id of each prefix, and its state
         for depth, edge, number in trie.walk():
-            del path[depth:], last[depth:]
-            for byte in edge:
-                path.append(byte)
-                end = len(path)
-                for n in lengths[byte]:
-                    if n > end:
-                        continue
-                    token = ids.get(bytes(path[end - n:end]))
-                    if token is None:
-                        continue
+            del last[depth:], reached[depth + 1:]
+            state = reached[depth]
+            for end, byte in enumerate(edge, depth + 1):
+                try:
+                    state = moves[state << 8 | byte]
+                except KeyError:
+                    state = self.move(state, byte)
+                for token, n in ends[state]:
                     if n == end:
                         break
-                    pair = (last[end - n - 1], token)
+                    pair = last[end - n - 1] << 32 | token
                     fits = pairs.get(pair)
                     if fits is None:
-                        fits = pairs[pair] = self.follows(*pair)
+                        fits = pairs[pair] = self.follows(last[end - n - 1], token)
                     if fits:
                         break
                 last.append(token)
+                reached.append(state)
             if number is not None:
-                found, end = [], len(path)
+                found, end = [], len(last)
                 while end:
                     token = last[end - 1]
                     found.append(token)
-                    end -= len(self.shown[token])
+                    end -= len(shown[token])
                 found.reverse()
                 out[words[number]] = struct.pack(f"<{len(found)}I", *found)
         return out
