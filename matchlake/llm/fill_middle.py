@@ -4,17 +4,18 @@ A text is cut into n lines at two places drawn from a digest of its id. Chunks o
 leave the mapper keyed by document and output position; ``repartitionAndSortWithinPartitions`` brings
 those of one document into one stream in output order, where a running digest or a writer takes them
 piece by piece. To restore, the pieces of the *output* are keyed by their original position, which
-follows from the form and the marks alone, and the same sort puts them back. No task holds a text
-whole after it has been cut; the sort spills.
+follows from the form and the marks alone, and sorted again by the same call; as documents stay in
+their partition, that second sort shuffles nothing. No task holds a text whole after it has been cut;
+the sorts spill. Partitions have about ``PART_BYTES``; beyond ``MOST_PARTS`` of them they grow instead.
 
 The key of a document is a digest of its id and text and the number of the partition that read it, so
 documents are dealt evenly however many share an id, a text or nothing (null). Rows that are equal in
 both are one stream whose pieces come several times; the first of each is used and the number of
-headers says how many rows to give back. The key depends on the data and its reading only, so a task
-that runs again sends the same pieces to the same places.
+first pieces says how many rows to give back. The key depends on the data and its reading only, so a
+task that runs again sends the same pieces to the same places.
 
 Cases: a null text is empty; a null id is the text "" in the draw; an empty text, or one that holds a
-mark, is ``plain`` and stays as it is; a line longer than ``CHUNK`` is several pieces; a last line
+mark, is ``plain`` and stays as it is; a line longer than a piece is several pieces; a last line
 without line feed counts as one; very long texts are streamed; an empty table gives an empty result.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 from pyspark import RDD
@@ -41,7 +43,10 @@ SALT = 7
 RATE, SPM_RATE = 100, 50
 #: Bytes of whole lines that make up a piece.
 CHUNK = 1 << 16
-HEADER = -1
+#: Bytes of text that are sorted together, and the most partitions there are.
+PART_BYTES, MOST_PARTS = 1 << 25, 1 << 15
+#: Bytes of a document's key; the position follows.
+KEY = 20
 
 
 def drawn(doc_id, n: int) -> tuple[int, int, int, int]:
@@ -82,70 +87,81 @@ def cut(doc_id, text: bytes, rate: int, spm_rate: int, size: int) -> tuple[tuple
 
     def pieces():
         for section in OUTPUT[form]:
-            yield MARKS[section]
-            yield from chunks(text, ends, *where[section], size)
+            mark = MARKS[section]
+            for piece in chunks(text, ends, *where[section], size):
+                yield mark + piece
+                mark = b""
+            if mark:
+                yield mark
 
     return (n, form, code_points(text[:a]), code_points(text[a:b])), pieces()
 
 
-def emitted(number: int, rows: Iterable, **how: int) -> Iterator:
-    """Pieces of all rows: ((key, output position), bytes), and a header before the first."""
+def keyed(key: bytes, position: int) -> bytes:
+    return key + position.to_bytes(8, "big")
+
+
+def emitted(number: int, rows: Iterable, **how: int) -> Iterator[tuple]:
+    """Pieces of all rows by key and output position; the first of a document comes with what is told of it."""
     place = number.to_bytes(4, "big")
     for doc_id, text in rows:
         text = bytes(text)
-        key = hashlib.blake2b(f"{'-' if doc_id is None else doc_id}:".encode() + text, digest_size=16).digest() + place
+        key = hashlib.blake2b(f"{'-' if doc_id is None else doc_id}:".encode() + text, digest_size=KEY - 4).digest() + place
         told, pieces = cut(doc_id, text, **how)
-        yield (key, HEADER), (doc_id, *told)
-        for position, piece in enumerate(pieces):
-            yield (key, position), piece
+        yield keyed(key, 0), ((doc_id, *told), next(pieces, b""))
+        for position, piece in enumerate(pieces, 1):
+            yield keyed(key, position), piece
 
 
-def dealt(key: tuple) -> int:
-    return int.from_bytes(key[0][:8], "big")
+def dealt(key: bytes) -> int:
+    return int.from_bytes(key[:8], "big")
 
 
-def once_each(pieces: Iterable) -> Iterator:
-    """(key, position, value, times) of a sorted stream, with equal keys and positions as one."""
-    last = None
-    for at, value in pieces:
-        if last is not None and last[0] == at:
-            last[2] += 1
+def once_each(pieces: Iterable) -> Iterator[tuple]:
+    """(key, value, times) of a sorted stream, with equal keys as one."""
+    last, value, times = None, None, 0
+    for key, other in pieces:
+        if key == last:
+            times += 1
             continue
-        if last is not None:
-            yield (*last[0], *last[1:])
-        last = [at, value, 1]
-    if last is not None:
-        yield (*last[0], *last[1:])
+        if times:
+            yield last, value, times
+        last, value, times = key, other, 1
+    if times:
+        yield last, value, times
 
 
 def documents(pieces: Iterable) -> Iterator[tuple]:
-    """(header, times, its pieces in order) of each document in a sorted stream; the pieces must be
-    used up before the next document."""
+    """(key, first value, its times, the later values in order) of each document in a sorted stream;
+    the values must be used up before the next document."""
     stream = once_each(pieces)
     held = next(stream, None)
     while held is not None:
-        key, _, header, times = held
+        key, first, times = held[0][:KEY], *held[1:]
         held = None
 
-        def own():
+        def later():
             nonlocal held
             for item in stream:
-                if item[0] != key:
+                if item[0][:KEY] != key:
                     held = item
                     return
-                yield item[2]
+                yield item[1]
 
-        yield key, header, times, own()
+        yield key, first, times, later()
 
 
 def original(form: str, pieces: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
-    """(original position, bytes) of an output's pieces: the marks of the form say which section follows."""
-    section, back, base = None, {m: s for s, m in MARKS.items()}, 1 << 40
-    for i, piece in enumerate(pieces):
-        if form != "plain" and piece in back:
-            section = TEXT.index(back[piece])
-        else:
-            yield (0 if form == "plain" else section * base) + i, piece
+    """(original position, bytes) of an output's pieces, from 1; the marks say which section begins."""
+    section, base = 0, 1 << 40
+    for i, piece in enumerate(pieces, 1):
+        if form != "plain":
+            for name, mark in MARKS.items():
+                if piece.startswith(mark):
+                    section, piece = TEXT.index(name), piece[len(mark):]
+                    break
+        if piece:
+            yield section * base + i, piece
 
 
 def sink(whole_texts: bool):
@@ -156,23 +172,23 @@ def sink(whole_texts: bool):
 
 
 def outputs(sorted_pieces: RDD, whole_texts: bool) -> RDD:
-    """The pieces again, keyed by their place in the original, and headers with the finished output."""
+    """The pieces again, keyed by their place in the original, before them what is told and the output."""
     start, add, end = sink(whole_texts)
 
     def fold(stream):
-        for key, header, times, pieces in documents(stream):
+        for key, (told, first), times, later in documents(stream):
             out = start()
 
             def passed():
-                for piece in pieces:
+                for piece in chain([first], later):
                     add(out, piece)
                     yield piece
 
-            for position, piece in original(header[2], passed()):
-                yield (key, position), piece
-            yield (key, HEADER), (header, end(out), times)
+            for position, piece in original(told[2], passed()):
+                yield keyed(key, position), piece
+            yield keyed(key, 0), (told, end(out), times)
 
-    return sorted_pieces.mapPartitions(fold)
+    return sorted_pieces.mapPartitions(fold, preservesPartitioning=True)
 
 
 def restored(sorted_pieces: RDD, whole_texts: bool) -> RDD:
@@ -180,11 +196,11 @@ def restored(sorted_pieces: RDD, whole_texts: bool) -> RDD:
     start, add, end = sink(whole_texts)
 
     def fold(stream):
-        for _, (header, output, times), _, pieces in documents(stream):
+        for _, (told, output, times), _, later in documents(stream):
             text = start()
-            for piece in pieces:
+            for piece in later:
                 add(text, piece)
-            row = (*header, output, end(text))
+            row = (*told, output, end(text))
             for _ in range(times):
                 yield row
 
@@ -192,8 +208,9 @@ def restored(sorted_pieces: RDD, whole_texts: bool) -> RDD:
 
 
 def _turned(docs: DataFrame, doc_id: str, text: str, names: tuple[str, str], whole_texts: bool, how: dict) -> DataFrame:
+    size = docs.agg(F.sum(F.octet_length(whole(text)))).head()[0] or 0
+    parts = min(MOST_PARTS, 1 + size // PART_BYTES)
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).cast("binary").alias("text")).rdd
-    parts = max(1, rows.getNumPartitions())
     once = rows.mapPartitionsWithIndex(partial(emitted, **how)).repartitionAndSortWithinPartitions(parts, dealt)
     back = outputs(once, whole_texts).repartitionAndSortWithinPartitions(parts, dealt)
     count = lambda name: T.StructField(name, T.LongType())
