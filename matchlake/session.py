@@ -62,6 +62,31 @@ def written(df, label: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Tables that one computation needs for a while: written below one folder of the shared root and
+    dropped together, on leaving the ``with`` block. What outlives it must not read them."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root, self.count = spark, scratch(spark, label), 0
+
+    def written(self, df):
+        """As ``written``, for as long as the workspace lasts."""
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.drop()
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` into the shared folder, which survives the loss of executors."""
     spark = df.sparkSession
