@@ -10,7 +10,8 @@ back on the value: a value that a third of the documents share is one row on the
 adaptive skew join divides the other. Texts are searched once; only candidate rows are shuffled.
 
 Cases: null and empty texts have no candidates; a null source is an owner of its own; an empty table
-gives an empty result; repeated rows stay separate and count once as owner.
+gives an empty result; repeated rows stay separate and count once as owner; very long texts, also such
+with hundreds of thousands of matches, are searched whole in time in proportion to them.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ PATTERNS = {
     "hex": r"[0-9a-f]{24,}",
     "vendor": r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})",
     "web_token": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "private_key": r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----",
+    "private_key": r"-----BEGIN (?:(?!PRIVATE KEY-----)[A-Z]++\x20)*+PRIVATE KEY-----",
 }
 MIN_ASSIGNED = 6
 COPIED_OWNERS = 3
