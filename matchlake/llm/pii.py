@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.once import once
 from .common import packed, whole
-from .spans import found, listed, number, of_kinds
+from .spans import blocks, found, listed, number, of_kinds, part, running
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "national_id", "local_phone")
@@ -87,14 +87,17 @@ def _valid(s: Column) -> Column:
     )
 
 
-def _score(text: Column, s: Column) -> Column:
+def _score(cut: Column, s: Column) -> Column:
     """Trust in the kind, a step up for a fitting word nearby and a step down for one against it."""
-    before = F.substring(text, F.greatest(F.lit(1), s["start"] - NEAR + 1), F.least(s["start"], F.lit(NEAR)))
-    around = F.lower(F.concat(before, F.lit(" "), F.substring(text, s["end"] + 1, F.lit(NEAR))))
+    around = F.lower(F.concat(part(cut, F.greatest(F.lit(0), s["start"] - NEAR), s["start"]), F.lit(" "), part(cut, s["end"], s["end"] + NEAR)))
+    return F.get(F.transform(F.array(around), lambda near: _trusted(near, s["kind"])), 0)
+
+
+def _trusted(around: Column, kind: Column) -> Column:
     trust, words = F.lit(None).cast("double"), F.lit(False)
-    for kind in TRUST:
-        trust = F.when(s["kind"] == kind, F.lit(TRUST[kind])).otherwise(trust)
-        words = F.when(s["kind"] == kind, around.rlike(rf"(?<!\p{{L}})(?:{FOR[kind]})")).otherwise(words)
+    for k in TRUST:
+        trust = F.when(kind == k, F.lit(TRUST[k])).otherwise(trust)
+        words = F.when(kind == k, around.rlike(rf"(?<!\p{{L}})(?:{FOR[k]})")).otherwise(words)
     against = around.rlike(rf"(?<!\p{{L}})(?:{AGAINST})(?!\p{{L}})")
     score = trust + F.when(words, STEP).otherwise(0.0) - F.when(against, STEP).otherwise(0.0)
     return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 2)
@@ -109,8 +112,9 @@ def spans(df: DataFrame, text: str, to: str = "spans_") -> DataFrame:
     guards |= {k: digit for k in ADDED}
     df = found(df, text, {k: (guards[k], p) for k, p in PATTERNS.items()}, "proposed_")
     df = once(df, confirmed_=F.filter("proposed_", _valid))
-    scored = F.transform("confirmed_", lambda s: F.struct(s["kind"], s["start"], s["end"], s["match"], _score(t, s).alias("score")))
-    df = once(df.drop("proposed_"), scored_=scored)
+    df = once(df.drop("proposed_"), cut_=F.when(F.size("confirmed_") > 0, blocks(t)))
+    scored = F.transform("confirmed_", lambda s: F.struct(s["kind"], s["start"], s["end"], s["match"], _score(F.col("cut_"), s).alias("score")))
+    df = once(df, scored_=scored)
     sure = F.filter("scored_", lambda s: s["kind"].isin(*BASE) | (s["score"] >= MIN_SCORE))
     return df.select(*keep, sure.alias(to))
 
@@ -135,23 +139,19 @@ def redacted(docs: DataFrame, text="text", n_chars: str | None = "n_chars") -> D
     df = spans(packed(docs, text_=whole(text)), "text_")
     ordered = F.array_sort(F.transform("spans_", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     df = once(df, ordered_=ordered)
-    start = F.struct(F.lit(0).alias("reach"), F.array().cast("array<struct<start:int,end:int,kind:string>>").alias("out"))
-
-    def merge(state: Column, s: Column) -> Column:
-        last = F.element_at(state["out"], -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        head = F.slice(state["out"], F.lit(1), F.size(state["out"]) - 1)
-        out = F.when(F.size(state["out"]) == 0, F.array(s)).otherwise(
-            F.when(s["start"] < state["reach"], F.concat(head, F.array(grown))).otherwise(F.concat(state["out"], F.array(s)))
-        )
-        return F.struct(F.greatest(state["reach"], s["end"]).alias("reach"), out.alias("out"))
-
-    df = once(df, merged_=F.when(F.size("ordered_") > 0, F.aggregate("ordered_", start, merge, lambda s: s["out"])))
-    t = F.col("text_")
+    df = running(df, {"reach_": (F.transform("ordered_", lambda s: s["end"]), F.greatest)})
+    every = F.when(F.size("ordered_") > 0, F.sequence(F.lit(0), F.size("ordered_") - 1))
+    begins = lambda i: F.get(F.col("ordered_"), i)["start"] >= F.coalesce(F.get(F.col("reach_"), i - 1), F.lit(0))
+    df = once(df, heads_=F.filter(every, begins))  # the spans that no earlier one reaches
+
+    def merged(i: Column, k: Column) -> Column:
+        head, after = F.get(F.col("ordered_"), i), F.coalesce(F.get(F.col("heads_"), k + 1), F.size("ordered_"))
+        return F.struct(head["start"].alias("start"), F.get(F.col("reach_"), after - 1).alias("end"), head["kind"].alias("kind"))
+
+    df = once(df, merged_=F.transform("heads_", merged), cut_=F.when(F.size("ordered_") > 0, blocks(F.col("text_"))))
+    t, cut = F.col("text_"), F.col("cut_")
     pieces = F.transform("merged_", lambda s, i: F.concat(
-        F.substring(t, F.coalesce(F.get("merged_", i - 1)["end"], F.lit(0)) + 1, s["start"] - F.coalesce(F.get("merged_", i - 1)["end"], F.lit(0))),
-        F.lit("["), F.upper(s["kind"]), F.lit("]"),
-    ))
+        part(cut, F.coalesce(F.get(F.col("merged_"), i - 1)["end"], F.lit(0)), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
     tail = F.substring(t, F.element_at("merged_", -1)["end"] + 1, F.length(t))
     clean = F.when(F.col("merged_").isNotNull(), F.concat(F.array_join(pieces, ""), tail)).otherwise(F.col(f"doc.{text}"))
     df = once(df, clean_=clean)

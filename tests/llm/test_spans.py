@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 from matchlake.llm import pii, secret_scan
@@ -103,3 +104,40 @@ def test_ownership(frame):
 
 def test_empty(frame):
     assert pii.report(frame([])).collect() == secret_scan.report(frame([])).collect() == pii.redacted(frame([])).collect() == []
+
+
+def nearly(n):
+    """Texts that nearly match all along."""
+    return [
+        "-----BEGIN " + "A " * n + " PRIVATE KEY", "-----BEGIN RSA " * n, "a@" * n, "a." * n + "@b", "1." * n, "1 " * n, "1-" * n + "1",
+        "+1" * n, "+1(" * n, "+1" + " " * n, "token=" * n, "password  " * n, "api_key" + " " * n, "AKIA" * n, "eyJ" * n, "eyJaaaaaaaa." * n,
+        "xoxb-" * n, "DE89 " * n, "GB82WEST" * n, "555-555-" * n, "123-45-" * n, "ab" * n,
+    ]
+
+
+def test_repetitions(frame):
+    texts = nearly(150)
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    for r in pii.report(frame(rows)).collect():
+        assert r.base_sha256 == sha(base(texts[r.doc_id], PII))
+    for r in secret_scan.report(frame(rows)).collect():
+        assert r.base_sha256 == sha(sorted(base(texts[r.doc_id], SECRETS), key=lambda s: (s[1], list(SECRETS).index(s[0]))))
+
+
+def test_long_repetitions(frame):
+    """No pattern recurses, and none starts over from each letter."""
+    rows = [(i, t, "en", "a") for i, t in enumerate(nearly(100_000))]
+    assert pii.report(frame(rows)).count() == secret_scan.report(frame(rows)).count() == len(rows)
+
+
+def test_very_many_matches(frame):
+    """30,000 matches in one text, in time in proportion to them."""
+    text = "ssn 1.2.3.4 é a@b.c 😀 token=abcdef " * 15_000
+    began = time.time()
+    (r,) = pii.report(frame([(1, text, "en", "a")])).collect()
+    (s,) = secret_scan.report(frame([(1, text, "en", "a")])).collect()
+    (clean,) = pii.redacted(frame([(1, text, "en", "a")])).collect()
+    assert time.time() - began < 60
+    assert (r.n_email, r.n_ip, s.n_assign) == (15_000,) * 3
+    assert r.base_sha256 == sha(base(text, PII)) and s.base_sha256 == sha(base(text, SECRETS))
+    assert clean.text == "ssn [IP] é [EMAIL] 😀 token=abcdef " * 15_000
