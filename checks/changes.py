@@ -9,6 +9,7 @@ from checks.registry import check
 from checks.views import sql
 from matchlake.operators import cdc, silver
 from matchlake.plans import season_load
+from matchlake.plans.hash_state import HashState
 from matchlake.plans.publish import Store
 from matchlake.functions.text import event_season
 from matchlake.session import scratch
@@ -251,3 +252,44 @@ def stage_status(spark, sf):
         F.col("event_timestamp").alias("at"), F.col("event_id").alias("seq"),
     )
     return season_load.stage_status(log).withColumn("last_processed_at", stamp("last_processed_at"))
+
+
+def folded_state(spark, sf, **how):
+    """Three runs: a first one, a complete snapshot, and a part of one language."""
+    texts = adapters.table(spark, sf, "documents").selectExpr("CAST(doc_id AS STRING) AS key", "doc_id % 10 AS digit", "text", "lang AS scope")
+    scopes = [r[0] for r in texts.selectExpr("coalesce(scope, 'none')").distinct().collect()]
+    state = HashState(spark, scratch(spark, "state"), **how)
+    runs = [
+        (texts.where("digit <> 0"), scopes, False),
+        (texts.where("digit <> 2").withColumn("text", F.expr("IF(digit = 1, text || ' v2', text)")), scopes, True),
+        (texts.where("digit = 3 AND scope = 'en'").withColumn("text", F.expr("text || ' v3'")), ["en"], False),
+    ]
+    for docs, opened, complete in runs:
+        head = state.head()
+        state.apply(state.changes(cdc.fingerprints(docs, "key", "text", "scope"), opened, complete), head)
+    return state
+
+
+STATE = (
+    "SELECT coalesce(lang, 'none') AS scope, CAST(doc_id AS VARCHAR) AS business_key, sha256(text || CASE WHEN doc_id % 10 = 1 THEN ' v2' "
+    "WHEN doc_id % 10 = 3 AND lang = 'en' THEN ' v3' ELSE '' END) AS record_hash FROM documents WHERE doc_id % 10 <> 2"
+)
+
+
+@check("cdc_state_folded", STATE)
+def cdc_state_folded(spark, sf):
+    """Hashes as base and deltas after three runs, some entries folded and some not."""
+    return folded_state(spark, sf, buckets=8).read()
+
+
+@check(
+    "cdc_state_changes",
+    f"SELECT s.scope, s.business_key, CASE WHEN s.record_hash = sha256(d.text) THEN 'SKIP' ELSE 'UPDATE' END AS operation FROM ({STATE}) s "
+    "JOIN documents d ON CAST(d.doc_id AS VARCHAR) = s.business_key WHERE s.scope = 'en' "
+    "UNION ALL SELECT 'en', CAST(doc_id AS VARCHAR), 'INSERT' FROM documents WHERE lang = 'en' AND doc_id % 10 = 2",
+)
+def cdc_state_changes(spark, sf):
+    """The first texts of one language against the folded state: only that language's entries are read."""
+    state = folded_state(spark, sf, buckets=8)
+    texts = adapters.table(spark, sf, "documents").where("lang = 'en'").selectExpr("CAST(doc_id AS STRING) AS key", "text", "lang AS scope")
+    return state.changes(cdc.fingerprints(texts, "key", "text", "scope"), ["en"], True).select("scope", "business_key", "operation")
