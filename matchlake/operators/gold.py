@@ -84,69 +84,55 @@ def team_dimension_from(teams: DataFrame, season_totals: DataFrame) -> DataFrame
     return _team_rows(teams, summed)
 
 
-def batting_innings(deliveries: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Runs, balls, fours and sixes per (match, innings, batter)."""
-    return deliveries.groupBy(*(by or []), "match_id", "innings_number", F.col("batter").alias("player_name")).agg(
-        F.sum("batter_runs").alias("runs"),
-        F.count(F.lit(1)).alias("balls"),
-        _count_if(F.col("batter_runs") == 4).alias("fours"),
-        _count_if(F.col("batter_runs") == 6).alias("sixes"),
-    )
-
+PLAYER_MAXIMA = ["highest_score", "best_wickets"]
+PLAYER_SUMS = [m for m in PLAYER_MEASURES if m not in (*PLAYER_MAXIMA, "overs_bowled")]
 
-def bowling_innings(deliveries: DataFrame, wickets: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Balls, runs conceded and wickets per (match, innings, bowler); every dismissal counts."""
-    by = by or []
-    keys = [*by, "match_id", "innings_number", "bowler"]
-    bowled = deliveries.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("balls"), F.sum("total_runs").alias("conceded")
-    )
-    taken = wickets.groupBy(*keys).agg(F.count(F.lit(1)).alias("taken"))
-    joined = bowled.join(taken, keys, "left")
-    return joined.select(
-        *by,
-        "match_id",
-        "innings_number",
-        F.col("bowler").alias("player_name"),
-        "balls",
-        "conceded",
-        F.coalesce("taken", F.lit(0)).alias("taken"),
-    )
 
+def player_innings(deliveries: DataFrame, wickets: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Batting and bowling of each player in each innings, in one row and out of one shuffle.
 
-PLAYER_MAXIMA = ["highest_score", "best_wickets"]
-PLAYER_SUMS = [m for m in PLAYER_MEASURES if m not in (*PLAYER_MAXIMA, "overs_bowled")]
+    A delivery is a row of its batter and a row of its bowler, a wicket one more of the bowler; all are
+    combined before they are shuffled. ``faced`` and ``bowled`` are 0 where the player did not bat or
+    bowl. Wickets in an innings that has no ball of the bowler do not count.
+    """
+    by, kept = by or [], ["match_id", "innings_number"]
+    zero = F.lit(0).cast("long")
+    one = lambda condition: F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    names = ("player_name", "faced", "runs", "fours", "sixes", "bowled", "conceded", "taken")
+    row = lambda *values: F.struct(*[v.alias(n) for n, v in zip(names, values)])
+    total = lambda c: F.coalesce(F.col(c).cast("long"), zero)
+    batter = row(F.col("batter"), F.lit(1).cast("long"), total("batter_runs"), one(F.col("batter_runs") == 4), one(F.col("batter_runs") == 6), zero, zero, zero)
+    bowler = row(F.col("bowler"), zero, zero, zero, zero, F.lit(1).cast("long"), total("total_runs"), zero)
+    balls = deliveries.select(*by, *kept, F.inline(F.array(batter, bowler)))
+    # an innings without a number equals no other
+    outs = wickets.where(F.col("innings_number").isNotNull()).select(
+        *by, *kept, F.inline(F.array(row(F.col("bowler"), *[zero] * 6, F.lit(1).cast("long")))))
+    summed = balls.unionByName(outs).groupBy(*by, *kept, "player_name").agg(*[F.sum(c).alias(c) for c in names[1:]])
+    return summed.where("faced > 0 or bowled > 0").withColumn("taken", F.when(F.col("bowled") > 0, F.col("taken")).otherwise(zero))
 
 
 def player_totals(deliveries: DataFrame, wickets: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Batting and bowling figures per player (and per ``by``, e.g. season).
 
-    The innings level is unique per (match, innings, player), so innings are a plain count; a NULL
-    innings number still counts, as a row comparison would have it.
+    Three levels of sums: innings, match, player. A match in which a player batted is a flag of the
+    match level, so matches add up and nothing distinct is counted. Each level combines its rows before
+    its shuffle; the second and third move rows of innings and matches, not deliveries.
     """
     by = by or []
-    keys = [*by, "player_name"]
-    runs = F.col("runs")
-    batting = batting_innings(deliveries, by).groupBy(*keys).agg(
-        F.count_distinct("match_id").alias("batting_matches"),
-        F.count(F.lit(1)).alias("batting_innings"),
-        F.sum("runs").alias("total_runs"),
-        F.sum("balls").alias("total_balls"),
-        F.sum("fours").alias("total_fours"),
-        F.sum("sixes").alias("total_sixes"),
-        F.max("runs").alias("highest_score"),
-        _count_if((runs >= 50) & (runs < 100)).alias("fifties"),
-        _count_if(runs >= 100).alias("hundreds"),
+    runs, faced, bowled = F.col("runs"), F.col("faced") > 0, F.col("bowled") > 0
+    match = player_innings(deliveries, wickets, by).groupBy(*by, "match_id", "player_name").agg(
+        _count_if(faced).alias("batting_innings"), F.sum("runs").alias("total_runs"), F.sum("faced").alias("total_balls"),
+        F.sum("fours").alias("total_fours"), F.sum("sixes").alias("total_sixes"), F.max(F.when(faced, runs)).alias("highest_score"),
+        _count_if(faced & (runs >= 50) & (runs < 100)).alias("fifties"), _count_if(faced & (runs >= 100)).alias("hundreds"),
+        _count_if(bowled).alias("bowling_innings"), F.sum("bowled").alias("balls_bowled"), F.sum("conceded").alias("runs_conceded"),
+        F.sum("taken").alias("wickets_taken"), F.max(F.when(bowled, F.col("taken"))).alias("best_wickets"),
     )
-    bowling = bowling_innings(deliveries, wickets, by).groupBy(*keys).agg(
-        F.count_distinct("match_id").alias("bowling_matches"),
-        F.count(F.lit(1)).alias("bowling_innings"),
-        F.sum("balls").alias("balls_bowled"),
-        F.sum("conceded").alias("runs_conceded"),
-        F.sum("taken").alias("wickets_taken"),
-        F.max("taken").alias("best_wickets"),
+    added = [c for c in match.columns if c not in (*by, "match_id", "player_name", *PLAYER_MAXIMA)]
+    named = F.col("match_id").isNotNull()
+    return match.groupBy(*by, "player_name").agg(
+        _count_if(named & (F.col("batting_innings") > 0)).alias("batting_matches"), _count_if(named & (F.col("bowling_innings") > 0)).alias("bowling_matches"),
+        *[F.sum(c).alias(c) for c in added], *[F.max(c).alias(c) for c in PLAYER_MAXIMA],
     )
-    return batting.join(bowling, keys, "full_outer")
 
 
 def _player_rows(players: DataFrame, totals: DataFrame) -> DataFrame:
