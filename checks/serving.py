@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.gold import dim_player, fact
 from checks.registry import check
 from checks.views import half_up, sql
-from matchlake.operators import analytics, lakehouse
+from matchlake.operators import analytics, lakehouse, references
 from matchlake.operators.analytics import Filters
 from matchlake.sources import adapters
 from matchlake.sources import lakehouse as lake_table
@@ -258,6 +258,46 @@ def ref_integrity(spark, sf):
     return analytics.missing_references(batting.distinct(), sides, ["match_id", "team_name"])
 
 
+AUDITED = [
+    ("match", "team1", "team", "team_name"), ("match", "team2", "team", "team_name"), ("match", "winner", "team", "team_name"),
+    ("match", "player_of_match", "player", "player_name"), ("team_squad", "match_id", "match", "match_id"), ("team_squad", "team_name", "team", "team_name"),
+    ("team_squad", "player_name", "player", "player_name"), ("delivery", "match_id", "match", "match_id"), ("delivery", "batting_team", "team", "team_name"),
+    ("delivery", "batter", "player", "player_name"), ("delivery", "non_striker", "player", "player_name"), ("delivery", "bowler", "player", "player_name"),
+    ("wicket", "delivery_id", "delivery", "delivery_id"), ("wicket", "player_out", "player", "player_name"), ("wicket", "fielder", "player", "player_name"),
+]
+#: Parents that are gone: a team, some players, some matches, the deliveries of others.
+LEFT = {
+    "team": "team_name <> 'NATION_3'", "player": "player_name NOT LIKE '%2'", "match": "CAST(match_id AS BIGINT) % 50 <> 0",
+    "delivery": "CAST(match_id AS BIGINT) % 7 <> 0", "team_squad": "true", "wicket": "true",
+}
+KEPT = ", ".join(f"kept_{t} AS (SELECT * FROM {'squad' if t == 'team_squad' else t} WHERE {w})" for t, w in LEFT.items())
+PAIRS = (
+    "SELECT 'delivery' AS child, 'match_id+batter' AS columns, 'team_squad' AS parent, length(match_id) || ':' || match_id || length(batter) || ':' || batter AS key, "
+    "count(*) AS rows FROM kept_delivery d WHERE NOT EXISTS (SELECT 1 FROM squad s WHERE s.match_id = d.match_id AND s.player_name = d.batter) GROUP BY 4"
+)
+
+
+@check(
+    "ref_audit",
+    sql(
+        "match delivery wicket team squad player",
+        " UNION ALL ".join(
+            f"SELECT '{child}' AS child, '{own}' AS columns, '{parent}' AS parent, c.{own} AS key, count(*) AS rows FROM kept_{child} c "
+            f"WHERE c.{own} IS NOT NULL AND c.{own} NOT IN (SELECT {key} FROM kept_{parent}) GROUP BY 4"
+            for child, own, parent, key in AUDITED
+        ) + " UNION ALL " + PAIRS,
+        KEPT,
+    ),
+)
+def ref_audit(spark, sf):
+    """All references of the schema at once, after some parents were taken away."""
+    sources = {
+        "match": adapters.matches, "delivery": adapters.deliveries, "wicket": adapters.wickets, "team": adapters.teams,
+        "player": adapters.players, "team_squad": adapters.squads,
+    }
+    return references.audit({name: source(spark, sf).where(LEFT[name]) for name, source in sources.items()})
+
+
 def lake_rows(spark, sf):
     """The lakehouse rows, without the raw document."""
     overs = adapters.overs(spark, sf).groupBy("match_id").agg(F.count(F.lit(1)).alias("total_overs"))
