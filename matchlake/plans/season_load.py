@@ -31,22 +31,26 @@ class Outcome:
 UNROUTED = "unrouted"
 
 
-def check_documents(store: Store, staged: DataFrame, version: str, seasons: list[str] | None) -> DataFrame:
-    """Parse, judge, route and hash the documents once, and keep the result as a table.
-
-    Judging comes before routing, so a document that cannot be read is not lost on the way: it has no
-    season and is kept under ``UNROUTED``. Everything after reads that table column by column; no
-    document is parsed a second time.
-    """
+def judge(staged: DataFrame) -> DataFrame:
+    """One document a match, parsed, hashed and judged. What names no season fails like any other fault."""
     order = [c for c in ("arrived",) if c in staged.columns]
     single = documents.one_per_match(staged.select("match_id", "raw_data", *order))
     parsed = documents.parse(single.drop(*order).withColumn("record_hash", F.sha2("raw_data", 256)))
     unrouted = F.col("season").isNull()
-    judged = quality.classify(parsed).withColumns({
+    return quality.classify(parsed).withColumns({
         "error_message": F.when(unrouted & F.col("error_type").isNull(), "no season").otherwise(F.col("error_message")),
         "error_type": F.when(unrouted, F.coalesce("error_type", F.lit("REQUIRED_FIELDS"))).otherwise(F.col("error_type")),
-        "season": F.coalesce("season", F.lit(UNROUTED)),
     })
+
+
+def check_documents(store: Store, staged: DataFrame, version: str, seasons: list[str] | None) -> DataFrame:
+    """Parse, judge, route and hash the documents once, and keep the result as a table.
+
+    Judging comes before routing, so a document that cannot be read is not lost on the way: it has no
+    season and is kept under ``UNROUTED``. Everything after reads that table column by column; no
+    document is parsed a second time.
+    """
+    judged = judge(staged).withColumn("season", F.coalesce("season", F.lit(UNROUTED)))
     if seasons:
         judged = judged.where(F.col("season").isin([*map(str, seasons), UNROUTED]))
     store.write("checked", judged, version)

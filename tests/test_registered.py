@@ -8,7 +8,7 @@ from checks import registry
 from tools.compare import TABLES, rows
 
 SLOW = {
-    "load_after_season_delete", "load_quarantined_update", "load_partial_snapshot", "load_change_log", "load_stage_status", "backfill_range", "incremental_load", "silver_reload_idempotent", "stage_counts", "apply_changes_silver",
+    "bucketed_increment", "load_after_season_delete", "load_quarantined_update", "load_partial_snapshot", "load_change_log", "load_stage_status", "backfill_range", "incremental_load", "silver_reload_idempotent", "stage_counts", "apply_changes_silver",
 }
 NAMES = [n for n in registry.QUERIES if n not in SLOW]
 
