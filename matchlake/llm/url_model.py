@@ -13,7 +13,8 @@ lookup inside the row, with no shuffle of URLs at all.
 
 Cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is judged by
 the model on its text; if no URL is labelled, all scores are 0 and the verdict is allow; repeated
-rows get equal verdicts; an empty table gives an empty result.
+rows get equal verdicts; an empty table gives an empty result; a very long URL is scored whole, in its
+own row.
 """
 
 from __future__ import annotations
@@ -83,9 +84,10 @@ def judged_parts(pages: DataFrame, url: str, rules=RULES) -> DataFrame:
 
 
 def likelihoods(labelled: DataFrame) -> DataFrame:
-    """(gram, lr) for every n-gram of either model: log10 odds of allow against block.
+    """(gram, lr) for every n-gram there can be: natural log odds of allow against block.
 
-    ``labelled`` has gram, allow and block, its counts.
+    ``labelled`` has gram, allow and block, its counts. An n-gram that no labelled URL holds has the
+    probability that its longest seen context leaves for it.
     """
     sides = ("allow", "block")
     levels = labelled.withColumn("level", F.lit(ORDER))
@@ -95,33 +97,27 @@ def likelihoods(labelled: DataFrame) -> DataFrame:
             *[F.sum(s).alias(s) for s in sides]
         ).withColumn("level", F.lit(k))
         everything = everything.unionByName(levels)
-    context = Window.partitionBy("level", "context")
-    everything = everything.withColumn("context", F.floor(F.col("gram") / CLASSES))
-    for s in sides:
-        everything = everything.withColumns({
-            f"{s}_n": F.sum(s).over(context), f"{s}_kinds": F.sum((F.col(s) > 0).cast("long")).over(context),
-        })
-    table = written(everything.drop("context"), "url")
-    # from the shortest order up: p = (count + kinds * p_shorter) / (n + kinds)
-    out = table.where(F.col("level") == ORDER).select("gram")
-    for s in sides:
-        out = out.withColumn(f"p_{s}", F.lit(1.0 / CLASSES))
+    counts = written(everything.select("level", F.col("gram").cast("long").alias("gram"), *sides), "url")
+    contexts = written(counts.groupBy("level", F.floor(F.col("gram") / CLASSES).alias("context")).agg(
+        *[F.sum(s).alias(f"{s}_n") for s in sides], *[F.sum((F.col(s) > 0).cast("long")).alias(f"{s}_kinds") for s in sides]
+    ), "url")
+    # from the shortest order up, over all n-grams: p = (count + kinds * p_shorter) / (n + kinds)
+    out = labelled.sparkSession.range(1).select(F.lit(0).cast("long").alias("shorter"), *[F.lit(1.0 / CLASSES).alias(f"p_{s}") for s in sides])
     for k in range(ORDER + 1):
-        one = table.where(F.col("level") == k).select(F.col("gram").alias("part"), *[c for s in sides for c in (s, f"{s}_n", f"{s}_kinds")])
-        out = out.withColumn("part", F.col("gram") % CLASSES ** (k + 1)).join(one, "part", "left")
-        out = out.select("gram", *[
-            F.when(F.coalesce(f"{s}_n", F.lit(0)) > 0, (F.col(s) + F.col(f"{s}_kinds") * F.col(f"p_{s}")) / (F.col(f"{s}_n") + F.col(f"{s}_kinds")))
+        grid = labelled.sparkSession.range(CLASSES ** (k + 1)).select(
+            F.col("id").alias("gram"), (F.col("id") % CLASSES ** k).alias("shorter"), F.floor(F.col("id") / CLASSES).alias("context"))
+        seen, context = [df.where(F.col("level") == k).drop("level") for df in (counts, contexts)]
+        rows = grid.join(out, "shorter").join(seen, "gram", "left").join(context, "context", "left")
+        out = rows.select(F.col("gram").alias("shorter"), *[
+            F.when(F.col(f"{s}_n") > 0, (F.coalesce(s, F.lit(0)) + F.col(f"{s}_kinds") * F.col(f"p_{s}")) / (F.col(f"{s}_n") + F.col(f"{s}_kinds")))
             .otherwise(F.col(f"p_{s}")).alias(f"p_{s}") for s in sides
         ])
-    return out.select("gram", (F.ln("p_allow") - F.ln("p_block")).alias("lr"))
+    return out.select(F.col("shorter").alias("gram"), (F.ln("p_allow") - F.ln("p_block")).alias("lr"))
 
 
 def _bounded(ratios: DataFrame) -> DataFrame:
     """One row with the ratios as an array indexed by n-gram, CLASSES ** (ORDER + 1) floats (4 MB)."""
-    size = CLASSES ** (ORDER + 1)
-    grid = ratios.sparkSession.range(size).select(F.col("id").cast("int").alias("gram"))
-    full = grid.join(ratios, "gram", "left").select("gram", F.coalesce("lr", F.lit(0.0)).cast("float").alias("lr"))
-    pairs = full.agg(F.array_sort(F.collect_list(F.struct("gram", "lr"))).alias("pairs"))
+    pairs = ratios.agg(F.array_sort(F.collect_list(F.struct("gram", F.col("lr").cast("float").alias("lr")))).alias("pairs"))
     return pairs.select(F.transform("pairs", lambda p: p["lr"]).alias("ratios"))
 
 
