@@ -9,9 +9,13 @@ Benchmark items are a stated query set: they are taken in blocks of at most ``BL
 index goes to the tasks, and each block is one pass over the texts. Texts stay in their tasks; nothing
 is shuffled, so neither a common passage nor a long text makes a hot key.
 
-Letters are compared in lower case, all white space as blanks. Cases: null and empty texts hold
-nothing; items shorter than ``MIN_ITEM`` letters tell nothing and are skipped, null ones too; equal
-items are each reported; repeated rows are reported each for itself; empty tables give no rows.
+Letters are compared in lower case, all white space as blanks. No edits are allowed in an item for
+which one could destroy every q-gram; items of fewer than q letters have none, and are looked up
+letter for letter wherever they are not part of a longer word.
+
+Cases: null and empty texts hold nothing; null and blank items are in nothing; equal items are each
+reported; repeated rows are reported each for itself; empty tables give no rows; a very long text is
+searched whole, in its own row.
 """
 
 from __future__ import annotations
@@ -28,7 +32,6 @@ from .common import packed, whole
 Q = 10
 #: Edits allowed, as a share of an item's letters.
 EDITS = 0.08
-MIN_ITEM = 30
 BLOCK = 4_000_000
 #: Bits of a hash that the first filter looks up.
 SIEVE = 22
@@ -45,19 +48,19 @@ def letters(text: str) -> np.ndarray:
     return codes
 
 
-def grams(codes: np.ndarray) -> np.ndarray:
+def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
     """A hash of the q-gram at each place."""
-    if len(codes) < Q:
+    if len(codes) < q:
         return np.zeros(0, np.uint64)
     power, width, left, out, done = np.full(1, BASE), 1, codes, None, 0  # arrays multiply modulo 2^64
-    for bit in range(Q.bit_length()):  # from widths 1, 2, 4, ... those that add up to q
-        if Q >> bit & 1:
+    for bit in range(q.bit_length()):  # from widths 1, 2, 4, ... those that add up to q
+        if q >> bit & 1:
             piece = left[done:]
             out = piece if out is None else out[: len(piece)] * power + piece[: len(out)]
             done += width
-        if done < Q:
+        if done < q:
             left, power, width = left[:-width] * power + left[width:], power * power, width * 2
-    out = out[: len(codes) - Q + 1] * BASE
+    out = out[: len(codes) - q + 1] * BASE
     return out ^ (out >> np.uint64(29))
 
 
@@ -81,6 +84,10 @@ class Index:
         place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
         self.item, self.place = item[order].astype(np.int32), place[order].astype(np.int32)
         self.known, self.first, self.times = np.unique(flat[order], return_index=True, return_counts=True)
+        self.short: dict[int, dict[int, list[int]]] = {}  # length, hash, numbers of items without q-grams
+        for i in np.flatnonzero(size < Q).tolist():
+            whole_item = int(grams(self.codes[i], int(size[i]))[0])
+            self.short.setdefault(int(size[i]), {}).setdefault(whole_item, []).append(i)
         self.sieve = np.zeros(1 << SIEVE, bool)
         self.sieve[self.known >> np.uint64(64 - SIEVE)] = True
 
@@ -121,19 +128,32 @@ def align(item: np.ndarray, text: np.ndarray, most: int, slack: int) -> tuple[in
     return (int(cost[end]), int(start[end]), end + len(item)) if cost[end] <= most else None
 
 
+def verbatim(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """Regions that are items of fewer than q letters, between ends of words."""
+    out = []
+    inside = lambda at: 0 <= at < len(codes) and chr(int(codes[at])).isalnum()
+    for size, known in index.short.items():
+        found = grams(codes, size)
+        for at in np.flatnonzero(np.isin(found, np.array(list(known), np.uint64))).tolist():
+            end = at + size
+            cut = (inside(at - 1) and inside(at)) or (inside(end - 1) and inside(end))
+            out += [(i, at, end, 0, 0) for i in known[int(found[at])] if not cut and np.array_equal(index.codes[i], codes[at:end])]
+    return out
+
+
 def leaks(text: str, index: Index) -> list[tuple[int, int, int, int, int]]:
     """(item's number, start, end, edits, shared q-grams) of each region of the text that holds one."""
     codes = letters(text)
+    out = verbatim(codes, index)
     at, item, place = index.hits(codes)
     if not len(at):
-        return []
+        return out
     diagonal = at.astype(np.int64) - place
     band = diagonal // index.width[item]
     # the band that starts at the hit's step, and the one before, which reaches over it
     key = np.concatenate([item.astype(np.int64) << 40 | band + (1 << 39), item.astype(np.int64) << 40 | band - 1 + (1 << 39)])
     found, count = np.unique(key, return_counts=True)
     enough = count >= np.maximum(1, index.bound[found >> 40])
-    out: list[tuple[int, int, int, int, int]] = []
     # an item's fullest bands first; the band beside one that was shown holds the same region
     for k, n in sorted(zip(found[enough].tolist(), count[enough].tolist()), key=lambda x: (x[0] >> 40, -x[1], x[0])):
         i = k >> 40
@@ -150,7 +170,7 @@ def leaks(text: str, index: Index) -> list[tuple[int, int, int, int, int]]:
 
 def blocks(benchmark: DataFrame, item_id="item_id", text="text") -> Iterator[list[tuple[int, str]]]:
     """The items, at most BLOCK letters (or one item) at a time."""
-    rows = benchmark.select(F.col(item_id).alias("id"), whole(text).alias("t")).where(F.length("t") >= MIN_ITEM)
+    rows = benchmark.select(F.col(item_id).alias("id"), whole(text).alias("t")).where(F.col("t").rlike(r"[^\x00-\x20]"))
     spread = rows.select("*", F.pmod(F.xxhash64("id", "t"), F.lit(1 << 16)).alias("slot"))
     slots = spread.groupBy("slot").agg(F.sum(F.length("t")).alias("n"))
     total = F.sum("n").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1))

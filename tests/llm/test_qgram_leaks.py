@@ -75,9 +75,45 @@ def test_empty(spark, frame, odd):
     assert G.report(frame([]), rows_of(spark, [(1, ITEMS[0][1], "x")])).collect() == []
 
 
+def nearest(item, text):
+    """Least edits from the item to any piece of the text: the full table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        row, last = [i], row
+        for j, y in enumerate(text, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return min(row)
+
+
+def test_exactly_the_items_within_the_budget_are_found():
+    items = [(i, prose(n)) for i, n in enumerate((3, 4, 5, 6, 8, 10, 12, 16, 20))]
+    items = [(i, t) for i, t in items if len(t) >= G.Q]
+    index = G.Index(items)
+    hits = misses = 0
+    for _ in range(120):
+        n = rng.randrange(len(items))
+        text = f"{prose(rng.randint(0, 9))} {edited(items[n][1], rng.randint(0, int(index.edits[n]) + 2))} {prose(rng.randint(0, 9))}"
+        plain = "".join(map(chr, G.letters(text)))
+        got = {r[0] for r in G.leaks(text, index)}
+        want = {k for k, (_, t) in enumerate(items) if nearest(t, plain) <= index.edits[k]}
+        assert got == want
+        hits, misses = hits + (n in want), misses + (n not in want)
+    assert hits > 30 and misses > 30
+
+
+def test_short_items():
+    index = G.Index([(1, "what is two plus two?"), (2, "2+2"), (3, "yes"), (4, "q"), (5, "two words")])
+    at = lambda text: sorted((index.ids[r[0]], r[1], r[2]) for r in G.leaks(text, index))
+    assert at("So: What is\ttwo plus two? YES") == [(1, 4, 25), (3, 26, 29)]
+    assert at("yesterday eyes 12+2 2+22 two wordsmiths") == []
+    assert at("2+2, two\nwords (q)") == [(2, 0, 3), (4, 16, 17), (5, 5, 14)]
+    assert at("what is two plus twO") == [] and at("") == []
+
+
 def test_query_finds_verbatim_items(spark, sf):
     docs = {r.doc_id: r.text.lower() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     items = {r.item_id: r.text.lower() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
-    want = {(d, i) for d, t in docs.items() for i, x in items.items() if len(x) >= G.MIN_ITEM and x in t}
+    assert min(map(len, items.values())) >= G.Q
+    want = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op7_benchmark_leaks"](spark, sf).collect()}
     assert want and want <= got
