@@ -102,12 +102,13 @@ def likelihoods(labelled: DataFrame) -> DataFrame:
         *[F.sum(s).alias(f"{s}_n") for s in sides], *[F.sum((F.col(s) > 0).cast("long")).alias(f"{s}_kinds") for s in sides]
     ), "url")
     # from the shortest order up, over all n-grams: p = (count + kinds * p_shorter) / (n + kinds)
-    out = labelled.sparkSession.range(1).select(F.lit(0).cast("long").alias("shorter"), *[F.lit(1.0 / CLASSES).alias(f"p_{s}") for s in sides])
+    out = None
     for k in range(ORDER + 1):
         grid = labelled.sparkSession.range(CLASSES ** (k + 1)).select(
             F.col("id").alias("gram"), (F.col("id") % CLASSES ** k).alias("shorter"), F.floor(F.col("id") / CLASSES).alias("context"))
         seen, context = [df.where(F.col("level") == k).drop("level") for df in (counts, contexts)]
-        rows = grid.join(out, "shorter").join(seen, "gram", "left").join(context, "context", "left")
+        known = grid.select("*", *[F.lit(1.0 / CLASSES).alias(f"p_{s}") for s in sides]) if out is None else grid.join(out, "shorter")
+        rows = known.join(seen, "gram", "left").join(context, "context", "left")
         out = rows.select(F.col("gram").alias("shorter"), *[
             F.when(F.col(f"{s}_n") > 0, (F.coalesce(s, F.lit(0)) + F.col(f"{s}_kinds") * F.col(f"p_{s}")) / (F.col(f"{s}_n") + F.col(f"{s}_kinds")))
             .otherwise(F.col(f"p_{s}")).alias(f"p_{s}") for s in sides
