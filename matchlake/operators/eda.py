@@ -21,13 +21,14 @@ def _count(condition: str) -> str:
     return f"size(filter(balls, b -> {condition}))"
 
 
-def document_totals(docs: DataFrame) -> DataFrame:
-    """One row per document with its counts, folded inside the row.
+def document_totals(docs: DataFrame, *kept: str) -> DataFrame:
+    """One row per document with its counts, folded inside the row, and the columns ``kept``.
 
     A dot ball scores nothing and carries neither a wide nor a no-ball entry.
     """
-    return docs.selectExpr("match_id", f"{BALLS} AS balls").selectExpr(
+    return docs.selectExpr("match_id", *kept, f"{BALLS} AS balls").selectExpr(
         "match_id",
+        *kept,
         "size(balls) AS deliveries",
         "aggregate(balls, 0L, (sum, b) -> sum + coalesce(b.runs.total, 0)) AS runs",
         "aggregate(balls, 0L, (sum, b) -> sum + coalesce(cardinality(b.wickets), 0)) AS wickets",
@@ -45,16 +46,47 @@ def _sums(docs: DataFrame) -> DataFrame:
     )
 
 
+TOTALS = ["deliveries", "runs", "wickets", "fours", "sixes"]
+
+
+def _entries(totals: Column) -> Column:
+    """What a document adds to the key figures: its totals once, and each name in it once."""
+    none = F.lit(None)
+    entry = lambda kind, name, figures=none: F.struct(
+        F.lit(kind).alias("kind"), name.cast("string").alias("name"), figures.cast(FIGURES).alias("figures")
+    )
+    listed = lambda names: F.coalesce(F.array_distinct(names), F.array().cast("array<string>"))
+    players = listed(F.flatten(F.map_values("info.players")))
+    teams = listed(F.transform("info.teams", lambda name: canonical_name(name)))
+    return F.concat(
+        F.array(entry("match", none, totals)),
+        F.transform(players, lambda name: entry("player", name)),
+        F.transform(teams, lambda name: entry("team", name)),
+    )
+
+
+FIGURES = f"struct<{', '.join(f'{name}:bigint' for name in TOTALS)}>"
+
+
 def kpi(docs: DataFrame) -> DataFrame:
-    """Eight figures in one row; the three inputs are already single rows when they meet."""
-    sums = _sums(docs).withColumnsRenamed({"fours": "boundaries"}).drop("dots")
-    squads = docs.select(F.explode(F.flatten(F.map_values("info.players"))).alias("name"))
-    players = squads.agg(F.count_distinct("name").alias("players"))
-    sides = docs.select(F.explode("info.teams").alias("name")).select(canonical_name(F.col("name")).alias("name"))
-    teams = sides.agg(F.count_distinct("name").alias("teams"))
-    rows = sums.unionByName(players, True).unionByName(teams, True)
-    order = ["matches", "deliveries", "runs", "wickets", "boundaries", "sixes", "players", "teams"]
-    return rows.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in order])
+    """Eight figures in one row, from one pass over the documents.
+
+    A document turns into its totals and its distinct names, tagged by kind. One grouping counts every
+    name once and adds up the totals; its rows are combined before they are shuffled.
+    """
+    folded = document_totals(docs, "info").select("info", F.struct(*TOTALS).alias("totals"))
+    rows = folded.select(F.inline(_entries(F.col("totals"))))
+    once_each = rows.groupBy("kind", "name").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(f"figures.{name}").alias(name) for name in TOTALS]
+    )
+    of = lambda kind: F.col("kind") == kind
+    whole = {"matches": F.sum(F.when(of("match"), F.col("rows"))), **{name: F.sum(name) for name in TOTALS}}
+    figures = {name.replace("fours", "boundaries"): total for name, total in whole.items()}
+    return once_each.agg(
+        *[F.coalesce(total, F.lit(0)).cast("bigint").alias(name) for name, total in figures.items()],
+        F.count(F.when(of("player"), F.col("name"))).alias("players"),
+        F.count(F.when(of("team"), F.col("name"))).alias("teams"),
+    )
 
 
 def _top(df: DataFrame, label: str, measure: str, n: int | None) -> DataFrame:
@@ -102,11 +134,14 @@ def run_distribution(docs: DataFrame) -> DataFrame:
 
 
 def team_performance(docs: DataFrame) -> DataFrame:
-    """Matches and wins of every team that played."""
-    played = docs.select(F.explode("info.teams").alias("name"), F.lit(1).alias("matches"), F.lit(0).alias("wins"))
-    won = docs.select(F.col("info.outcome.winner").alias("name"), F.lit(0).alias("matches"), F.lit(1).alias("wins"))
-    both = played.unionByName(won.where("name <> ''"))
-    totals = both.groupBy(canonical_name(F.col("name")).alias("team")).agg(
+    """Matches and wins of every team that played, from one pass over the documents."""
+    entry = lambda name, matches, wins: F.struct(
+        canonical_name(name).alias("team"), F.lit(matches).alias("matches"), F.lit(wins).alias("wins")
+    )
+    winner, nobody = F.col("info.outcome.winner"), F.array().cast("array<struct<team:string,matches:int,wins:int>>")
+    played = F.coalesce(F.transform("info.teams", lambda name: entry(name, 1, 0)), nobody)
+    won = F.when(winner != "", F.array(entry(winner, 0, 1))).otherwise(nobody)
+    totals = docs.select(F.inline(F.concat(played, won))).groupBy("team").agg(
         F.sum("matches").alias("matches"), F.sum("wins").alias("wins")
     )
     return totals.where("matches > 0")

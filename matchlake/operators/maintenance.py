@@ -1,14 +1,10 @@
-"""Lakehouse maintenance: health, compaction, expiry of versions, orphaned files."""
+"""Lakehouse maintenance: health, expiry of versions, orphaned files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchlake.schemas import LAKEHOUSE_COLUMNS
-from matchlake.session import scratch
-from matchlake.sources import lakehouse as lake_table
-
 RETENTION_DAYS = 7
 KEPT_VERSIONS = 3
 
@@ -28,49 +24,6 @@ def health(lake: DataFrame) -> DataFrame:
     ).select(F.lit("HEALTHY").alias("status"), "row_count", "file_count")
 
 
-def compaction_plan(files: DataFrame, target_bytes: int = lake_table.TARGET_FILE_BYTES) -> DataFrame:
-    """(season, files, bytes, target_files) of every season with more files than its size calls for."""
-    season = F.url_decode(F.regexp_extract("path", "/season=([^/]+)/", 1))
-    sizes = files.groupBy(season.alias("season")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
-    target = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1)).cast("int")
-    return sizes.where("season <> ''").select("*", target.alias("target_files")).where("files > target_files")
-
-
-def compact(spark: SparkSession, path: str, target_bytes: int = lake_table.TARGET_FILE_BYTES) -> dict[str, int]:
-    """Rewrite the seasons of the plan with fewer, larger files.
-
-    The rows are first written elsewhere and counted; only then are the seasons replaced. A season
-    is spread over as many tasks as it gets files, so a very large one is not one task's work.
-    """
-    plan = compaction_plan(list_files(spark, path, "*.parquet"), target_bytes)
-    targets = {row["season"]: row["target_files"] for row in plan.select("season", "target_files").collect()}
-    if not targets:
-        return {"compacted_seasons": 0, "rows": 0}
-    lake = lake_table.read_table(spark, path).where(F.col("season").isin(list(targets)))
-    sizes = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
-    slot = F.pmod(F.xxhash64("match_id"), F.element_at(sizes, F.col("season")))
-    copy = scratch(spark, "compact")
-    spread = lake.withColumn("slot", slot).repartition(sum(targets.values()), "season", "slot").drop("slot")
-    spread.write.partitionBy("season").option("compression", "zstd").parquet(copy)
-    copied = lake_table.read_table(spark, copy)
-    before, after = lake.count(), copied.count()
-    if before != after:
-        raise RuntimeError(f"compaction would change {before} rows into {after}")
-    # reading file by file keeps the files of the copy
-    per_file = copied.select(*LAKEHOUSE_COLUMNS, F.col("_metadata.file_path").alias("file"))
-    per_file = per_file.repartition(sum(targets.values()), "season", "file").drop("file")
-    (
-        per_file.write.partitionBy("season")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
-    return {"compacted_seasons": len(targets), "rows": after}
-
-
 def expiry_plan(
     versions: DataFrame, now: str, days: int = RETENTION_DAYS, keep: int = KEPT_VERSIONS
 ) -> DataFrame:

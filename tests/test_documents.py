@@ -3,6 +3,7 @@ import json
 import pytest
 
 from matchlake.operators import eda, quality, silver
+from matchlake.schemas import MATCH_DOC
 from matchlake.session import scratch
 from matchlake.sources import documents as source
 from tests.samples import document, documents, without
@@ -163,3 +164,21 @@ def test_flattening_needs_no_shuffle(spark):
     for name in silver.MATCH_TABLES:
         plan = silver.TABLES[name](docs)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Python" not in plan, name
+
+
+def test_key_figures_and_team_figures_read_the_documents_once(spark, sf):
+    from checks.documents import parsed
+
+    path = scratch(spark, "eda")
+    parsed(spark, sf).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for figures in (eda.kpi(docs), eda.team_performance(docs)):
+        plan = figures._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Join" not in plan and "Union" not in plan
+
+
+def test_key_figures_of_odd_documents(spark):
+    empty = spark.createDataFrame([], f"match_id string, {MATCH_DOC}")
+    assert tuple(eda.kpi(empty).first()) == (0,) * 8 and eda.team_performance(empty).collect() == []
+    bare = spark.createDataFrame([("m", None, None)], f"match_id string, {MATCH_DOC}")
+    assert tuple(eda.kpi(bare).first()) == (1, 0, 0, 0, 0, 0, 0, 0) and eda.team_performance(bare).collect() == []
