@@ -1,28 +1,36 @@
 """Toxicity: Levenshtein automata over a lexicon trie, with context windows.
 
-The lexicon is learned from labelled rows: words, and word beginnings (stems), that toxic documents
-hold at several different places and others next to never. The words go into one trie; the automaton that accepts every
-string within a word's edit budget is the trie walked with up to two errors, made deterministic lazily
-(a state is a set of trie nodes with their errors, a transition is computed when it is first taken).
-A word that leads to no term dies after a few letters, so texts are read at about one dictionary look-up
-a letter, and every different word of a task is walked once.
+The lexicon is learned from labelled rows: beginnings of words (roots) and words that toxic documents hold
+at several different places and others next to never; of roots that begin alike the shortest, of words
+those without a root. They go into one trie; the automaton that accepts every string within a term's error
+budget (for a root, every string that begins so) is the trie walked with up to two errors, made
+deterministic lazily (a state is a set of trie nodes with their errors, a transition is computed when it
+is first taken). A word that leads to no term dies after a few letters, so texts are read at about one
+dictionary look-up a letter, and every different word of a task is walked once.
+
+A term keeps a number of errors if what comes that close to it is likelier a misspelling than another
+word: the share of clean documents that hold such a word must not exceed ``MISSPELT`` times the share of
+toxic documents that hold the term, or the share of toxic ones that hold such a word.
 
 A hit is looked at in its window of words: in quotation marks or after words of speaking or naming it
-is quotation, next to a word that addresses somebody it is abuse. Hits of words (a misspelled
-one counts less) and stems, each plain and quoted, and addressed hits are the features of a logistic
-model, fitted on about ``SAMPLE`` labelled documents (a bound on what training reads, chosen by hash). A word whose misspellings show up in clean documents keeps a smaller error budget. The score
-sees the text only.
+is quotation, next to a word that addresses somebody it is abuse. Plain hits by kind (word, root, one
+error, two errors), quoted hits and addressed hits are the features of a logistic model, fitted on about
+``SAMPLE`` labelled documents (a bound on what training reads, chosen by hash). Misspellings are rare in
+labelled text, so its toxic documents are fitted twice more with one and two letters of every hit
+changed; that gives hits with errors weights of their own. The score sees the text only.
 
 Rows with crc32(doc_id) mod 5 = 0 are held out of all learning. Cases: null and empty texts have no
-hits and get the score of a text without any; null ids belong to no label and are not held out; a
-document labelled twice is toxic if one label says so; without labels the score is the prior 0.5 less
-a hair, so nothing is predicted toxic; repeated rows get equal scores; empty tables give no rows.
+hits and get the score of a text without any; very long texts are read whole; null ids belong to no label
+and are not held out; a document labelled twice is toxic if one label says so; without labels the score
+is the prior 0.5 less a hair, so nothing is predicted toxic; repeated rows get equal scores; of terms
+equally near a whole word, then the first in order counts; other columns are not read; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,55 +46,56 @@ SAMPLE = 20_000
 #: A term is at this many different places in toxic documents at least, and at this many per toxic
 #: document; at least this share of all its places is there.
 MIN_PLACES, MIN_RATE, MIN_SHARE = 5, 0.005, 0.9
-STEM_LENGTHS = (4, 5, 6)
-#: A stem is worth a term only if several words begin with it.
+STEM_LENGTHS = (3, 4, 5, 6, 7)
+#: A root is worth a term only if several words begin with it.
 MIN_FORMS = 3
 #: Errors allowed by a term's length.
-ONE_ERROR, TWO_ERRORS = 5, 9
+ONE_ERROR, TWO_ERRORS = 4, 9
+#: The share of a term's places taken to be misspelt, where nothing else is known.
+MISSPELT = 0.02
 WINDOW = 5
 WORD = re.compile(r"[^\W\d_]+")
-QUOTES = "\"'«»„“”‘’‹›`"
+QUOTES = frozenset("\"'«»„“”‘’‹›`")
+OPENING, CLOSING = frozenset("«‹"), frozenset("»›")
 #: Words that name or report a word, and words that address somebody, in four languages.
 NAMING = frozenset("said says word words term called quote quoted wrote writes sagte wort begriff schrieb mot terme écrit dit palabra término dijo escribió".split())
 ADDRESS = frozenset("you your youre u ur du dein deine ihr euch sie tu toi ton vous votre tú tus usted eres vosotros".split())
-#: What a hit counts: exact, stem, one error, two errors.
-WORTH = (1.0, 1.0, 0.8, 0.6)
-FEATURES = ["word_plain", "word_quoted", "stem_plain", "stem_quoted", "addressed", "share"]
-#: Clean documents of the sample in which a term's misspellings may show before they no longer count.
-MAX_FALSE = 1
+#: Kinds of hits.
+EXACT, ROOT, ONE, TWO = range(4)
+FEATURES = ["word", "root", "one_error", "two_errors", "quoted", "addressed", "share"]
 
 
 class Lexicon:
-    """The trie of words and stems, and its lazily built automaton."""
+    """The trie of words and roots, and its lazily built automaton."""
 
     def __init__(self, words: list[str], stems: list[str], strict: dict[str, int] | None = None):
-        """``strict`` lowers the error budget of single words."""
+        """``strict`` lowers the error budget of single terms."""
         strict = strict or {}
         self.words, self.stems = sorted(set(words)), sorted(set(stems))
-        self.term: dict[int, str] = {}
         self.children: list[dict[str, int]] = [{}]
-        self.budget: dict[int, int] = {}  # a word ends here: errors allowed
-        self.stem: set[int] = set()
-        self.reach: list[int] = [0]  # errors allowed by any word below
-        for word in self.words:
-            errors = min(strict.get(word, 2), 2 if len(word) >= TWO_ERRORS else 1 if len(word) >= ONE_ERROR else 0)
-            at = self._insert(word, errors)
-            self.budget[at], self.term[at] = errors, word
-        for stem in self.stems:
-            self.stem.add(self._insert(stem, 0))
+        self.word: dict[int, tuple[int, str]] = {}  # a word ends here: errors allowed, and the word
+        self.stem: dict[int, tuple[int, str]] = {}  # likewise of a root
+        self.reach: list[int] = [0]  # errors allowed by any term below
+        for terms, ends in ((self.words, self.word), (self.stems, self.stem)):
+            for term in terms:
+                errors = min(strict.get(term, 2), 2 if len(term) >= TWO_ERRORS else 1 if len(term) >= ONE_ERROR else 0)
+                ends[self._insert(term, errors)] = errors, term
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.steps: list[dict[str, int]] = []
+        self.ends: list[tuple] = []  # of each state the nearest word, and the nearest root
         self.start = self._state({0: 0})
         self.seen: dict[str, tuple[int, str]] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k in ("children", "budget", "stem", "reach", "term", "words", "stems")}
+        return {k: v for k, v in self.__dict__.items() if k in ("children", "word", "stem", "reach", "words", "stems")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.states, self.sets, self.steps, self.seen = {}, [], [], {}
-        self.start = self._state({0: 0})
+        self._forget()
 
     def _insert(self, term: str, errors: int) -> int:
         at = 0
@@ -114,6 +123,8 @@ class Lexicon:
             self.states[key] = len(self.sets)
             self.sets.append(closed)
             self.steps.append({})
+            nearest = lambda ends: min(((e, ends[n][1]) for n, e in closed.items() if n in ends and e <= ends[n][0]), default=NONE)
+            self.ends.append((nearest(self.word), nearest(self.stem)))
         return self.states[key]
 
     def _step(self, state: int, letter: str) -> int:
@@ -130,31 +141,29 @@ class Lexicon:
         return number
 
     def kind(self, word: str) -> tuple[int, str]:
-        """0 exact, 1 stem, 2 one error, 3 two errors, -1 none: the first that fits; and the word met."""
+        """EXACT, ROOT, ONE or TWO errors, or -1, and the term met: that with the fewest errors."""
         found = self.seen.get(word)
         if found is not None:
             return found
-        state, at, stem = self.start, 0, False
+        state, begun = self.start, NONE
         for letter in word:
             nxt = self.steps[state].get(letter)
             state = self._step(state, letter) if nxt is None else nxt
-            if not stem and at is not None:
-                at = self.children[at].get(letter)
-                stem = at in self.stem
-            if state < 0 and (stem or at is None):
-                break
             if state < 0:
-                state = self._dead()
-        ends = [(e, self.term[n]) for n, e in self.sets[state].items() if e <= self.budget.get(n, -1)] if state >= 0 else []
-        errors, term = min(ends, default=(9, ""))
-        found = 0 if errors == 0 else 1 if stem else 2 if errors == 1 else 3 if errors == 2 else -1, term
+                break
+            begun = min(begun, self.ends[state][1])
+        whole_word = self.ends[state][0] if state >= 0 else NONE
+        root = begun[0] < whole_word[0]
+        errors, term = begun if root else whole_word
+        found = (-1 if errors > 2 else errors + 1 if errors else ROOT if root else EXACT), term
         if len(self.seen) > 300_000:
             self.seen.clear()
         self.seen[word] = found
         return found
 
-    def _dead(self) -> int:
-        return self._state({})
+
+#: No term is near.
+NONE = (9, "")
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
@@ -174,11 +183,33 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         around = words[max(0, i - WINDOW): i] + words[i + 1: i + 1 + WINDOW]
         left = low[max(0, spot.start() - 2): spot.start()]
         right = low[spot.end(): spot.end() + 2]
-        quoted = any(c in QUOTES for c in left) and any(c in QUOTES for c in right)
+        # a blank may stand inside guillemets, but not between a word and the quote of its neighbour
+        opened = left[-1:] in QUOTES or left[:1] in OPENING and left[1:].isspace()
+        closed = right[:1] in QUOTES or right[1:] in CLOSING and right[:1].isspace()
+        quoted = bool(left and right) and bool(opened and closed)
         quoted = quoted or any(w in NAMING for w in words[max(0, i - WINDOW): i])
-        out[2 * (k == 1) + quoted] += WORTH[k]
-        out[4] += any(w in ADDRESS for w in around)
-    return [math.log1p(x) for x in out[:5]] + [math.log1p(1000 * (out[0] + out[2]) / len(words))]
+        out[4 if quoted else k] += 1
+        out[5] += any(w in ADDRESS for w in around)
+    return [math.log1p(x) for x in out[:6]] + [math.log1p(1000 * sum(out[:4]) / len(words))]
+
+
+def misspelt(text: str, lexicon: Lexicon, letters: int) -> str:
+    """The text with so many letters of every hit changed, at places that follow from the word."""
+    def changed(spot: re.Match) -> str:
+        word = spot[0]
+        if lexicon.kind(word)[0] < 0:
+            return word
+        at = zlib.crc32(word.encode()) % len(word)
+        for place in range(at, at + letters):
+            place %= len(word)
+            other = ALPHABET[(ALPHABET.find(word[place]) + 7) % len(ALPHABET)]
+            word = word[:place] + other + word[place + 1:]
+        return word
+
+    return WORD.sub(changed, text.lower())
+
+
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
 def _scored(rows: DataFrame, lexicon: Lexicon, model: np.ndarray | None) -> DataFrame:
@@ -237,25 +268,35 @@ def learn(train: DataFrame) -> Lexicon:
     in_clean = clean.join(words.select("word"), "word", "left_semi").groupBy("word").agg(count.alias("others"))
     begun = clean.select("place", stem).where("stem IS NOT NULL").join(stems.select("stem"), "stem", "left_semi").groupBy("stem").agg(count.alias("others"))
     sure = F.col("count") >= MIN_SHARE * (F.col("count") + F.coalesce("others", F.lit(0)))
-    whole_words = [r.word for r in words.join(in_clean, "word", "left").where(sure).select("word").collect()]
     begins = [r.stem for r in stems.join(begun, "stem", "left").where(sure).select("stem").collect()]
-    return Lexicon(whole_words, begins, _strict(train.where("toxic = 0"), Lexicon(whole_words, begins)))
+    roots = [s for s in begins if not any(s != other and s.startswith(other) for other in begins)]
+    whole_words = [r.word for r in words.join(in_clean, "word", "left").where(sure).select("word").collect()]
+    alone = [w for w in whole_words if not w.startswith(tuple(roots))]
+    return Lexicon(alone, roots, _strict(train, Lexicon(alone, roots)))
 
 
-def _strict(clean: DataFrame, lexicon: Lexicon) -> dict[str, int]:
-    """Words whose misspellings occur in clean documents, with the errors that remain allowed."""
-    shared = clean.sparkSession.sparkContext.broadcast(lexicon)
+def _strict(train: DataFrame, lexicon: Lexicon) -> dict[str, int]:
+    """Terms near which other words lie, with the errors that remain allowed."""
+    shared = train.sparkSession.sparkContext.broadcast(lexicon)
 
     def mapped(batches):
         for batch in batches:
             hits = [
-                h for t in batch.column(0)
-                for h in {shared.value.kind(w) for w in set(WORD.findall((t.as_py() or "").lower()))} if h[0] >= 2
+                (toxic, *h) for toxic, t in zip(batch.column(0).to_pylist(), batch.column(1))
+                for h in {(term, max(k - 1, 0)) for k, term in map(shared.value.kind, set(WORD.findall((t.as_py() or "").lower()))) if k >= 0}
             ]
-            yield pa.RecordBatch.from_arrays([pa.array([w for _, w in hits], pa.string()), pa.array([k - 2 for k, _ in hits], pa.int32())], ["word", "left"])
+            yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in hits], kind) for i, kind in enumerate((pa.int32(), pa.string(), pa.int32()))], ["toxic", "term", "errors"])
 
-    hits = clean.select("t").mapInArrow(mapped, "word string, left int").groupBy("word", "left").count().where(F.col("count") > MAX_FALSE)
-    return {r.word: r.left for r in hits.groupBy("word").agg(F.min("left").alias("left")).collect()}
+    hits = train.select("toxic", "t").mapInArrow(mapped, "toxic int, term string, errors int").groupBy("toxic", "term", "errors").count()
+    documents = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
+    share = {(r.toxic, r.term, r.errors): r["count"] / documents[r.toxic] for r in hits.collect()}  # a few rows per term
+    of = lambda toxic, term, errors: share.get((toxic, term, errors), 0.0)
+    left = {}
+    for term in {term for _, term, _ in share}:
+        for errors in (2, 1):
+            if of(0, term, errors) > max(MISSPELT * of(1, term, 0), of(1, term, errors)):
+                left[term] = errors - 1
+    return left
 
 
 def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -271,11 +312,27 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 3
     return w
 
 
+def _with_misspelt(train: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(toxic, t): the training rows, and the toxic ones again with one and two letters of hits changed."""
+    shared = train.sparkSession.sparkContext.broadcast(lexicon)
+
+    def mapped(batches):
+        for batch in batches:
+            copies = []
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                copies.append((y, text))
+                changed = [misspelt(text, shared.value, letters) for letters in (1, 2)] if y else []
+                copies += [(y, copy) for copy in changed if copy != text.lower()]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in copies], pa.int32()), pa.array([t for _, t in copies], pa.string())], ["toxic", "t"])
+
+    return train.select("toxic", "t").mapInArrow(mapped, "toxic int, t string")
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="toxic") -> tuple[Lexicon, np.ndarray]:
-    """Lexicon and weights from the labelled rows; about SAMPLE short vectors reach the driver."""
+    """Lexicon and weights from the labelled rows; about SAMPLE short vectors, three for a toxic document, reach the driver."""
     train = training(docs, labels, doc_id, text, label)
     lexicon = learn(train)
-    rows = _scored(train.select("toxic", "t"), lexicon, None).collect()
+    rows = _scored(_with_misspelt(train, lexicon), lexicon, None).collect()
     y = np.array([r.toxic for r in rows], float)
     if len(set(y)) < 2:
         return lexicon, np.array([-1e-6] + [0.0] * len(FEATURES))
