@@ -52,7 +52,7 @@ def test_context():
 def test_features_against_a_plain_reading():
     """Every hit looked up by edit distance, its window read off a list of words."""
     lexicon = T.Lexicon(WORDS, [])
-    vocab = WORDS + ["idiots", "pathetik", "you", "said", "plain", "words", "worthlez", "moronic"]
+    vocab = WORDS + ["idiots", "pathetik", "you", "said", "plain", "things", "worthlez", "moronic"]
     budget = {w: 2 if len(w) >= 9 else 1 if len(w) >= 4 else 0 for w in WORDS}
     for _ in range(300):
         words = rng.choices(vocab, k=rng.randint(1, 25))
