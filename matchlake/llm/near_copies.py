@@ -1,22 +1,20 @@
 """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more.
 
 Texts with the same set of shingles are one point, whose SimHash fingerprint and min-hashes are taken
-in one pass. ``BANDS`` bands of ``ROWS`` min-hashes deal the points to buckets: two sets of similarity
-0.8 share one of 24 bands of 5 with probability 1 - (1 - 0.8^5)^24, which leaves out one pair in 14,000,
-and fewer of the closer ones. In a bucket every member is proposed to one centre only, so proposals
-stay in proportion to the rows whatever the size of a group of copies. Fingerprints that differ in
-more than ``FAR`` bits and sizes that rule the similarity out are refused at once; the sets decide
-about the others: a pair links if its exact Jaccard similarity is at least ``ALIKE``.
-
-What a centre did not draw into its component takes part in the next round, where up to ``CENTRES`` of
-them are the bucket's centres and meet all members of other components, those linked before among them. Rounds go
-on as long as one of them finds a link; buckets whose members are all in one component, or have all
-had their centre, are done. Two sets can thus stay apart only if no round found them a way to each
-other although they share a bucket; README gives the measured recall against all pairs.
-
-A bucket meets its centre in a join on the bucket, in which the adaptive skew join divides a large
-one; centres come from an aggregate that combines before its shuffle. Whole texts are shuffled once,
-for the points that share a bucket with another. All tables of the search are dropped at its end.
+in one pass. A metric tree over all fingerprints cannot prune at the distance that a similarity of 0.8
+asks for, so ``BANDS`` bands of ``ROWS`` min-hashes deal the points to buckets first: two sets of
+similarity 0.8 share one of 24 bands of 5 with probability 1 - (1 - 0.8^5)^24, which leaves out one pair
+in 14,000, and fewer of the closer ones. In each bucket a vantage-point tree over the fingerprints finds
+those that differ in ``FAR`` bits or fewer, and hands on a spanning forest, never its pairs. What hangs
+together so is a cell. Every set goes to its cell once, where the sets decide: all pairs within ``FAR``
+bits whose sizes allow it are compared exactly, in whole numbers, and link at 0.8 or more. No pair of a cell is left
+out but those that are linked already.
+
+Cells end where no fingerprint is near, so the sets move in proportion to the rows. A bucket of more than
+``SLICE`` points, or a cell of more than ``TILE`` bytes, is cut into slices by hash that meet pairwise in
+tasks of their own: no task holds a group whole, at the price that a group far beyond that is moved once
+for each of its slices. Both steps hand on forests; their components follow by alternating stars. Whole
+texts are read again for the points of cells only. All tables of the search are dropped at its end.
 
 Cases: texts without words are copies of one another and of nothing else; a text of fewer than five
 words is one shingle; a null text has no words; null ids come last in the choice; very long texts are
@@ -29,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Workspace
@@ -37,12 +35,13 @@ from . import simhash_vp
 from .common import packed, whole
 
 SHINGLE, SEED = 5, 42
-ALIKE = 0.8
+#: Linked at a Jaccard similarity of ALIKE / OF or more.
+ALIKE, OF = 4, 5
 BANDS, ROWS = 24, 5
 #: At 0.8 a bit of the fingerprint differs with probability 0.15; beyond 22 of 64 come 2 in 100,000.
 FAR = 22
-#: Centres of a bucket in a round after the first.
-CENTRES = 4
+#: Points of a bucket that a task searches together, bytes of sets of a cell that it compares.
+SLICE, TILE = 4096, 8 << 20
 #: Shingles of a text handled together.
 BLOCK = 512
 
@@ -114,40 +113,89 @@ def signatures(rows: DataFrame) -> DataFrame:
 
 
 def members(points: DataFrame, work: Workspace) -> DataFrame:
-    """(bucket, fp, sim, n, served) of the points that share a bucket with another."""
-    dealt = points.select("fp", "sim", "n", F.explode("bands").alias("bucket"))
-    shared = work.written(dealt.groupBy("bucket").agg(F.count("*").alias("all")).where("`all` > 1").select("bucket"))
-    return work.written(dealt.join(shared, "bucket").withColumn("served", F.lit(False)))
+    """(bucket, fp, sim, parts) of the points that share a bucket with another."""
+    dealt = points.select("fp", "sim", F.explode("bands").alias("bucket"))
+    shared = dealt.groupBy("bucket").agg(F.count("*").alias("all")).where("`all` > 1")
+    shared = work.written(shared.select("bucket", F.ceil(F.col("all") / SLICE).alias("parts")))
+    return work.written(dealt.join(shared, "bucket"))
 
 
-def sets(inside: DataFrame, points: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
-    """(fp, s): the whole shingle sets of the points in ``inside``, from the text of one row each."""
-    keys = work.written(points.join(inside.select("fp").distinct(), "fp", "left_semi").select("fp", "key"))
+def meeting(rows: DataFrame, parts: Column) -> DataFrame:
+    """``rows`` with part, turn and left: a group's slices meet pairwise, each also itself; ``left`` are
+    the points of slice ``part``, which those of slice ``turn`` are compared with."""
+    own = F.pmod(F.xxhash64("fp"), parts)
+    slots = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: F.struct(F.least("own", j).alias("part"), F.greatest("own", j).alias("turn")))
+    dealt = rows.withColumn("own", own).withColumn("slot", F.explode(slots))
+    return dealt.withColumns({"part": F.col("slot.part"), "turn": F.col("slot.turn"), "left": F.col("own") == F.col("slot.part")}).drop("own", "slot")
 
-    def hashed(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(_bytes(t)).tobytes() for t in batch.column(1)], pa.binary())], ["fp", "s"])
 
-    found = rows.join(keys, "key").select("fp", F.col("text_").cast("binary")).mapInArrow(hashed, "fp bigint, s binary")
-    return work.written(found.dropDuplicates(["fp"]))
+def sides(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that are compared with others, and the others."""
+    index, queries = np.flatnonzero(left), np.flatnonzero(~left)
+    return index, queries if len(queries) else index
 
 
-def verified(proposed: DataFrame, known: DataFrame, work: Workspace) -> DataFrame:
-    """The proposed (a, b) whose sets are alike."""
-    def decided(batches):
+def near(inside: DataFrame, work: Workspace) -> DataFrame:
+    """(a, b): a spanning forest of the points that share a bucket within FAR bits, for each bucket."""
+    def searched(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= ALIKE * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            lists = batch.column(0)
+            flat, ends = lists.flatten(), lists.offsets.to_numpy()
+            fp, sim = flat.field("fp").to_numpy(), flat.field("sim").to_numpy().view(np.uint64)
+            left = flat.field("left").to_numpy(zero_copy_only=False)
+            low, high = [], []
+            for i, j in zip(ends[:-1] - ends[0], ends[1:] - ends[0]):
+                forest = simhash_vp.Forest(j - i)
+                simhash_vp.connect(*sides(left[i:j]), sim[i:j], FAR, forest)
+                moved = np.flatnonzero(forest.label != np.arange(j - i))
+                low.append(fp[i:j][moved])
+                high.append(fp[i:j][forest.label[moved]])
+            pair = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (low, high)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(*pair)), pa.array(np.minimum(*pair))], ["a", "b"])
+
+    together = meeting(inside, F.col("parts")).groupBy("bucket", "part", "turn").agg(F.collect_list(F.struct("fp", "sim", "left")).alias("points"))
+    return work.written(together.select("points").mapInArrow(searched, "a bigint, b bigint").distinct())
+
+
+def sets(cells: DataFrame, points: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
+    """(fp, cell, sim, s): the whole shingle sets of the points in ``cells``, from the text of one row each."""
+    keys = work.written(points.select("fp", "sim", "key").join(cells, "fp").select("fp", "cell", "sim", "key"))
 
-    named = work.written(proposed.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
-    known = work.written(known.join(named, "fp", "left_semi"))  # small in later rounds, and of a size Spark then knows
-    side = lambda c: known.select(F.col("fp").alias(c), F.col("s").alias(f"s{c}"))
-    both = proposed.join(side("a"), "a").join(side("b"), "b")
-    return work.written(both.select("a", "b", "sa", "sb").mapInArrow(decided, "a bigint, b bigint"))
+    def hashed(batches):
+        for batch in batches:
+            found = pa.array([shingles(_bytes(t)).tobytes() for t in batch.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["fp", "cell", "sim", "s"])
+
+    found = rows.join(keys, "key").select("fp", "cell", "sim", F.col("text_").cast("binary"))
+    return work.written(found.mapInArrow(hashed, "fp bigint, cell bigint, sim bigint, s binary").dropDuplicates(["fp"]))
+
+
+def alike(table: pa.Table) -> pa.Table:
+    """(a, b): a spanning forest of the links between the points of two slices of a cell."""
+    table = table.sort_by([("left", "descending"), ("fp", "ascending")])
+    fp, sim = table.column("fp").to_numpy(), table.column("sim").to_numpy().view(np.uint64)
+    index, queries = sides(table.column("left").to_numpy())
+    found = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("s")]
+    n = np.array([len(s) for s in found], np.int64)
+    starts = np.cumsum(n) - n
+    words, ids = np.unique(np.concatenate(found), return_inverse=True)
+    mark, forest = np.zeros(len(words), bool), simhash_vp.Forest(len(fp))
+    for q in queries:
+        close = (np.bitwise_count(sim[index] ^ sim[q]) <= FAR) & (OF * np.minimum(n[index], n[q]) >= ALIKE * np.maximum(n[index], n[q]))
+        some = index[close & (forest.label[index] != forest.label[q])]
+        if not len(some):
+            continue
+        own = ids[starts[q]:starts[q] + n[q]]
+        mark[own] = True
+        begin = np.cumsum(n[some]) - n[some]
+        their = ids[np.repeat(starts[some] - begin, n[some]) + np.arange(n[some].sum())]
+        both = np.add.reduceat(mark[their], begin, dtype=np.int64)
+        mark[own] = False
+        linked_ = some[OF * both >= ALIKE * (n[some] + n[q] - both)]
+        forest.join(np.full(len(linked_), q), linked_)
+    moved = np.flatnonzero(forest.label != np.arange(len(fp)))
+    a, b = fp[moved], fp[forest.label[moved]]
+    return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
 def roots(edges: DataFrame, work: Workspace) -> DataFrame:
@@ -160,43 +208,23 @@ def roots(edges: DataFrame, work: Workspace) -> DataFrame:
     return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
-def linked(inside: DataFrame, known: DataFrame, work: Workspace) -> DataFrame:
-    """(fp, root) of the points that the search links with a smaller one."""
-    spark = inside.sparkSession
-    tree = spark.createDataFrame([], "fp bigint, root bigint")
-    links, told = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "a bigint, b bigint")
-    centres = 1
-    while True:
-        at = work.written(inside.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-        candidate = F.when(~F.col("served"), F.struct(F.xxhash64("fp").alias("h"), "fp", "sim", "n", "root"))
-        ends = (F.min("root").alias("low"), F.max("root").alias("high"))
-        turns = at.groupBy("bucket", F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(centres)).alias("turn")).agg(F.min(candidate).alias("c"), *ends)
-        open_ = turns.groupBy("bucket").agg(F.collect_list("c").alias("cs"), F.min("low").alias("low"), F.max("high").alias("high"))
-        open_ = work.written(open_.where("size(cs) > 0 and low <> high").select("bucket", "cs"))
-        met = work.written(at.join(open_, "bucket"))
-        near = (F.bit_count(F.col("sim").bitwiseXOR(F.col("c.sim"))) <= FAR) & (F.least("n", F.col("c.n")) >= ALIKE * F.greatest("n", F.col("c.n")))
-        pairs = met.select("fp", "sim", "n", "root", F.explode("cs").alias("c")).where((F.col("root") != F.col("c.root")) & near)
-        pairs = pairs.select(F.greatest("fp", "c.fp").alias("a"), F.least("fp", "c.fp").alias("b")).distinct()
-        proposed = work.written(pairs.join(told, ["a", "b"], "left_anti"))
-        found = verified(proposed, known, work)
-        if found.isEmpty():
-            return tree
-        links, told = work.written(links.unionByName(found)), work.written(told.unionByName(proposed))
-        tree = roots(links, work)
-        # a point is served once it was a centre of its bucket or has come to the component of one
-        new = met.join(tree.withColumnRenamed("root", "now"), "fp", "left").withColumn("now", F.coalesce("now", "fp"))
-        served = open_.select("bucket", F.explode("cs.fp").alias("fp")).join(tree, "fp", "left").select("bucket", F.coalesce("root", "fp").alias("now"))
-        served = served.distinct().withColumn("drawn", F.lit(True))
-        inside = new.join(served, ["bucket", "now"], "left").select("bucket", "fp", "sim", "n", (F.col("served") | F.col("drawn").isNotNull()).alias("served"))
-        inside, centres = work.written(inside), CENTRES
+def linked(points: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
+    """(fp, root) of the points that are linked with a smaller one."""
+    tree = roots(near(members(points, work), work), work).withColumnRenamed("root", "cell")
+    cells = work.written(tree.unionByName(tree.select(F.col("cell").alias("fp"), "cell").distinct()))
+    known = sets(cells, points, rows, work)
+    large = known.groupBy("cell").agg(F.ceil(F.sum(F.octet_length("s")) / TILE).alias("parts")).where("parts > 1")
+    known = known.join(work.written(large), "cell", "left")
+    found = meeting(known, F.coalesce("parts", F.lit(1).cast("long"))).select("cell", "part", "turn", "fp", "sim", "s", "left")
+    found = found.groupBy("cell", "part", "turn").applyInArrow(alike, "a bigint, b bigint")
+    return roots(work.written(found.distinct()), work)
 
 
 def components(marked: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
     """(fp, root) for the points that hold more than one row or are linked."""
     points = work.written(marked.groupBy("fp").agg(
-        F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("key").alias("key"), F.count("*").alias("times")))
-    inside = members(points, work)
-    tree = linked(inside, sets(inside, points, rows, work), work)
+        F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.min("key").alias("key"), F.count("*").alias("times")))
+    tree = linked(points, rows, work)
     rooted = work.written(points.select("fp", "times").join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     several = rooted.groupBy("root").agg(F.sum("times").alias("rows")).where("rows > 1")
     return rooted.join(several, "root").select("fp", "root")
