@@ -54,6 +54,8 @@ ONE_ERROR, TWO_ERRORS = 4, 9
 #: The share of a term's places taken to be misspelt, where nothing else is known.
 MISSPELT = 0.02
 WINDOW = 5
+#: Words whose kind a worker remembers.
+HELD = 100_000
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = frozenset("\"'«»„“”‘’‹›`")
 OPENING, CLOSING = frozenset("«‹"), frozenset("»›")
@@ -156,7 +158,7 @@ class Lexicon:
         root = begun[0] < whole_word[0]
         errors, term = begun if root else whole_word
         found = (-1 if errors > 2 else errors + 1 if errors else ROOT if root else EXACT), term
-        if len(self.seen) > 300_000:
+        if len(self.seen) > HELD:
             self.seen.clear()
         self.seen[word] = found
         return found
@@ -212,22 +214,19 @@ def misspelt(text: str, lexicon: Lexicon, letters: int) -> str:
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _scored(rows: DataFrame, lexicon: Lexicon, model: np.ndarray | None) -> DataFrame:
-    """``rows`` (..., text last) with its score, or with its features where there is no model yet."""
+def _scored(rows: DataFrame, lexicon: Lexicon, model: np.ndarray) -> DataFrame:
+    """``rows`` (..., text last) with its score."""
     others = rows.columns[:-1]
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
 
     def mapped(batches):
         for batch in batches:
             x = np.array([features(t.as_py() or "", shared.value) for t in batch.columns[-1]], float).reshape(-1, len(FEATURES))
-            if model is None:
-                last = pa.array(list(x), pa.list_(pa.float64()))
-            else:
-                last = pa.array(1 / (1 + np.exp(-np.clip(x @ model[1:] + model[0], -500, 500))), pa.float64())
+            last = pa.array(1 / (1 + np.exp(-np.clip(x @ model[1:] + model[0], -500, 500))), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], last], [*others, "value"])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
-    return rows.mapInArrow(mapped, f"{schema}, value {'array<double>' if model is None else 'double'}")
+    return rows.mapInArrow(mapped, f"{schema}, value double")
 
 
 def remainder(doc_id: Column) -> Column:
@@ -312,27 +311,30 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 3
     return w
 
 
-def _with_misspelt(train: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """(toxic, t): the training rows, and the toxic ones again with one and two letters of hits changed."""
+def _examples(train: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(toxic, value): the features of the training rows, and of the toxic ones again with one and two
+    letters of hits changed; in one map, since a map on a map keeps two Python workers for each task."""
     shared = train.sparkSession.sparkContext.broadcast(lexicon)
 
     def mapped(batches):
         for batch in batches:
-            copies = []
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                copies.append((y, text))
+            labels, found = [], []
+            for y, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = cell.as_py() or ""
                 changed = [misspelt(text, shared.value, letters) for letters in (1, 2)] if y else []
-                copies += [(y, copy) for copy in changed if copy != text.lower()]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in copies], pa.int32()), pa.array([t for _, t in copies], pa.string())], ["toxic", "t"])
+                for copy in (text, *(copy for copy in changed if copy != text.lower())):
+                    labels.append(y)
+                    found.append(features(copy, shared.value))
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "value"])
 
-    return train.select("toxic", "t").mapInArrow(mapped, "toxic int, t string")
+    return train.select("toxic", "t").mapInArrow(mapped, "toxic int, value array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="toxic") -> tuple[Lexicon, np.ndarray]:
     """Lexicon and weights from the labelled rows; about SAMPLE short vectors, three for a toxic document, reach the driver."""
     train = training(docs, labels, doc_id, text, label)
     lexicon = learn(train)
-    rows = _scored(_with_misspelt(train, lexicon), lexicon, None).collect()
+    rows = _examples(train, lexicon).collect()
     y = np.array([r.toxic for r in rows], float)
     if len(set(y)) < 2:
         return lexicon, np.array([-1e-6] + [0.0] * len(FEATURES))
