@@ -14,7 +14,8 @@ Cells end where no fingerprint is near, so the sets move in proportion to the ro
 ``SLICE`` points, or a cell of more than ``TILE`` bytes, is cut into slices by hash that meet pairwise in
 tasks of their own: no task holds a group whole, at the price that a group far beyond that is moved once
 for each of its slices. Both steps hand on forests; their components follow by alternating stars. Whole
-texts are read again for the points of cells only. All tables of the search are dropped at its end.
+texts are read again for the points of cells only, and a sieve of keys leaves most others where they
+are, there and where the losing rows go out. All tables of the search are dropped at its end.
 
 Cases: texts without words are copies of one another and of nothing else; a text of fewer than five
 words is one shingle; a null text has no words; null ids come last in the choice; very long texts are
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import Workspace
 from . import simhash_vp
-from .common import packed, whole
+from .common import packed, sieve, whole
 
 SHINGLE, SEED = 5, 42
 #: Linked at a Jaccard similarity of ALIKE / OF or more.
@@ -117,7 +118,7 @@ def members(points: DataFrame, work: Workspace) -> DataFrame:
     dealt = points.select("fp", "sim", F.explode("bands").alias("bucket"))
     shared = dealt.groupBy("bucket").agg(F.count("*").alias("all")).where("`all` > 1")
     shared = work.written(shared.select("bucket", F.ceil(F.col("all") / SLICE).alias("parts")))
-    return work.written(dealt.join(shared, "bucket"))
+    return work.written(dealt.where(sieve(shared, "bucket")(F.col("bucket"))).join(shared, "bucket"))
 
 
 def meeting(rows: DataFrame, parts: Column) -> DataFrame:
@@ -166,7 +167,7 @@ def sets(cells: DataFrame, points: DataFrame, rows: DataFrame, work: Workspace)
             found = pa.array([shingles(_bytes(t)).tobytes() for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["fp", "cell", "sim", "s"])
 
-    found = rows.join(keys, "key").select("fp", "cell", "sim", F.col("text_").cast("binary"))
+    found = rows.where(sieve(keys, "key")(F.col("key"))).join(keys, "key").select("fp", "cell", "sim", F.col("text_").cast("binary"))
     return work.written(found.mapInArrow(hashed, "fp bigint, cell bigint, sim bigint, s binary").dropDuplicates(["fp"]))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import key_text, packed, sampled, whole
+from .common import key_text, packed, sampled, sieve, whole
 
 SHINGLE = 4
 SEED = 42
@@ -282,14 +282,17 @@ def one_of_each(docs: DataFrame, doc_id="doc_id", text="text", radius: int = RAD
 
 
 def first_of_each(docs: DataFrame, marked: DataFrame, named: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with the first of each component only; ``marked`` has doc_id, key and fp, ``named`` fp and root."""
+    """``docs`` with the first of each component only; ``marked`` has doc_id, key and fp, ``named`` fp and root.
+    Rows that a sieve tells to be neither losing nor repeated are not shuffled."""
     grouped = marked.join(named, "fp").select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("me"))
     first = grouped.groupBy("root").agg(F.min("me").alias("first"), F.count("*").alias("rows"))
     losing = grouped.join(first, "root").where(F.col("me.key") != F.col("first.key")).select(F.col("me.key").alias("key")).distinct()
     losing = written(losing, "vp")
     repeated = written(grouped.groupBy("me.key").agg(F.count("*").alias("times")).where("times > 1").join(losing, "key", "left_anti").select("key"), "vp")
-    left = packed(docs, key=identity(F.col(doc_id), whole(text))).join(losing, "key", "left_anti")
+    rows = packed(docs, key=identity(F.col(doc_id), whole(text)))
+    asked = sieve(losing.unionByName(repeated), "key")(F.col("key"))
+    sure, left = rows.where(~asked).select("doc.*"), rows.where(asked).join(losing, "key", "left_anti")
     if repeated.isEmpty():
-        return left.select("doc.*")
+        return sure.unionByName(left.select("doc.*"))
     again = left.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("doc").alias("doc"))
-    return left.join(repeated, "key", "left_anti").select("doc.*").unionByName(again.select("doc.*"))
+    return sure.unionByName(left.join(repeated, "key", "left_anti").select("doc.*")).unionByName(again.select("doc.*"))
